@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_quality
+from . import compression_quality, toxicity
 from .common import table
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
