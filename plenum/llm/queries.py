@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_quality, toxicity
+from . import compression_quality, media, toxicity
 from .common import table
 
 
+def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.text_media(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
