@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_quality, media, toxicity
+from . import compression_quality, media, mixing, secrets, toxicity
 from .common import table
 
 
+def op4_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,4 +33,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_pareto_mixing": mixing.sql(), "op7_secret_scans": secrets.sql()}
