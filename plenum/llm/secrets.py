@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_checked
+from .common import Scratch, join_checked
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,7 @@ def findings(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     table: empty result. Columns other than doc_id and text aren't read. Findings come from the ledger where it
     has the blob under these rules, else from a scan.
     """
-    new = update(docs, ledger, rules)
+    new = Scratch(docs.sparkSession, "ledger").write(update(docs, ledger, rules), "new")
     if ledger is not None:
         known = ledger.where(F.col("rules") == version(rules)).select("blob", "rules", "spans")
         new = new.unionByName(known.groupBy("blob", "rules").agg(F.first("spans").alias("spans")))
