@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_quality, media, mixing, packing, secrets, token_counts, toxicity
+from . import compression_quality, embedding_dedup, media, mixing, packing, secrets, token_counts, toxicity
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near(table(spark, sf_dir, "embeddings"))
+
+
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

@@ -141,4 +141,4 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), block:
     folder = scratch.path("flat")
     written = scratch.write(write_files(docs, folder, vocabulary), "written")
     counted = count_files(spark, folder, written.where("nth = -1").select("file", "n_tokens"), block=block)
-    return written.where("nth >= 0").select("doc_id", "file", "nth").join(counted, ["file", "nth"]).select("doc_id", "n_tokens")
+    return written.where("nth >= 0").select("doc_id", "file", "nth").join(counted.hint("merge"), ["file", "nth"]).select("doc_id", "n_tokens")
