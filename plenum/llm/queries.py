@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_quality, embedding_dedup, media, mixing, packing, secrets, substring_dedup, token_counts, toxicity
+from . import compression_quality, embedding_dedup, media, mixing, ngram_join, packing, secrets, substring_dedup, token_counts, toxicity
 from .common import table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
