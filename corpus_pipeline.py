@@ -4,27 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plenum.llm import compression_quality
-from plenum.llm.common import table
+from plenum.llm import compression_quality, mixing, ngram_join, packing, secrets
+from plenum.llm.common import Scratch, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the compression classifier rejects go."""
     return compression_quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality classifier", keep_quality)]
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of the documents that the n-gram Jaccard join connects, the one with the smallest doc_id stays."""
+    return ngram_join.representatives(docs)
 
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts become a mark; n_chars follows."""
+    return secrets.redacted(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents come as often as the mix of sources takes them."""
+    return mixing.resampled(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its sequence and its place there."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("secret scans", redact_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
+
+#: The first stage learns a model and the last one tokenizes, which SQL can't express; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stage's rows written before the next reads them."""
-    from plenum.llm.common import Scratch
-
+    """All stages over documents, each stage's rows written to the shared folder before the next reads them."""
     scratch, docs = Scratch(spark, "pipeline"), table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = scratch.write(docs, f"stage{k}")
+            if k:
+                scratch.drop(f"stage{k - 1}")
     return docs
