@@ -18,9 +18,21 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _load() -> None:
+    from . import checks, texts, votes  # noqa: F401  they register themselves
+
+
+def flagship(spark, sf_dir):
+    """Where the best record of a group differs from what most records say."""
+    _load()
+    return QUERIES["vote_diff"](spark, sf_dir)
+
+
 def queries() -> dict:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)
