@@ -57,9 +57,9 @@ def existence_three_valued(spark, sf_dir):
     return reference.existence(table(spark, sf_dir, "documents").select("doc_id"), known, "doc_id", "ok")
 
 
-@query("set_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("set_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 300000")
 def set_difference(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").select("o_custkey"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").where("o_totalprice > 300000").select("o_custkey"))
 
 
 @query("set_intersection", "SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders WHERE o_totalprice > 300000")
@@ -144,7 +144,7 @@ def ranked_selection(spark, sf_dir):
 ALERT = "WITH r AS (SELECT l_orderkey AS k, list_sort(list_distinct(list(l_suppkey % 7))) AS roster, list_sort(list_distinct(list(l_linenumber::BIGINT % 7))) AS reported FROM lineitem GROUP BY 1)"
 
 
-@query("alerts", ALERT + " SELECT k, len(list_filter(reported, x -> NOT list_contains(roster, x)))::BIGINT AS invented, len(list_filter(roster, x -> NOT list_contains(reported, x)))::BIGINT AS missed, CASE WHEN len(list_filter(reported, x -> NOT list_contains(roster, x))) > 0 THEN 'HALLUCINATION' WHEN len(list_filter(roster, x -> NOT list_contains(reported, x))) > 0 THEN 'MISSED' ELSE 'CONFIRMED' END AS alert FROM r")
+@query("alerts", ALERT + " SELECT k, len(list_filter(reported, lambda x: NOT list_contains(roster, x)))::BIGINT AS invented, len(list_filter(roster, lambda x: NOT list_contains(reported, x)))::BIGINT AS missed, CASE WHEN len(list_filter(reported, lambda x: NOT list_contains(roster, x))) > 0 THEN 'HALLUCINATION' WHEN len(list_filter(roster, lambda x: NOT list_contains(reported, x))) > 0 THEN 'MISSED' ELSE 'CONFIRMED' END AS alert FROM r")
 def alerts(spark, sf_dir):
     r = rosters(spark, sf_dir)
     invented, missed = F.size(F.array_except("reported", "roster")).cast("long"), F.size(F.array_except("roster", "reported")).cast("long")
@@ -162,7 +162,7 @@ def override(spark, sf_dir):
     return rosters(spark, sf_dir).select("k", F.when(ok, said).otherwise(F.get("roster", F.lit(0))).alias("chosen"), (~ok).alias("applied"), said.alias("reported"))
 
 
-@query("orphan_radar", ALERT + " SELECT k, array_to_string(list_transform(roster, x -> x::VARCHAR), ',') AS kept, array_to_string(list_transform(list_filter(reported, x -> list_contains(roster, x) AND x <> roster[1]), x -> x::VARCHAR), ',') AS orphans FROM r")
+@query("orphan_radar", ALERT + " SELECT k, array_to_string(list_transform(roster, lambda x: x::VARCHAR), ',') AS kept, array_to_string(list_transform(list_filter(reported, lambda x: list_contains(roster, x) AND x <> roster[1]), lambda x: x::VARCHAR), ',') AS orphans FROM r")
 def orphan_radar(spark, sf_dir):
     orphans = F.filter(F.array_intersect("reported", "roster"), lambda x: x != F.get("roster", F.lit(0)))
     return rosters(spark, sf_dir).select("k", F.array_join(F.transform("roster", lambda x: x.cast("string")), ",").alias("kept"), F.array_join(F.transform(F.array_sort(orphans), lambda x: x.cast("string")), ",").alias("orphans"))

@@ -11,7 +11,7 @@ from plenum.plans.tables import table
 
 from .registry import query
 
-SPANS = "spans AS (SELECT user_id, epoch(ts)::BIGINT AS b, epoch(ts)::BIGINT + floor(value * 60)::BIGINT AS e FROM events)"
+SPANS = "spans AS (SELECT user_id, floor(epoch(ts))::BIGINT AS b, floor(epoch(ts))::BIGINT + floor(value * 60)::BIGINT AS e FROM events)"
 MERGED = """marked AS (SELECT *, CASE WHEN b > max(e) OVER w THEN 1 WHEN max(e) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM spans WINDOW w AS (PARTITION BY user_id ORDER BY b, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY b, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM marked),
 merged AS (SELECT user_id, min(b) AS b, max(e) AS e, count(*) AS parts FROM numbered GROUP BY user_id, island)"""
@@ -46,7 +46,7 @@ def coverage_ratio(spark, sf_dir):
     return intervals.coverage(spans(spark, sf_dir), days(spark, sf_dir), ["user_id"], 86_400, 0.1)
 
 
-@query("rate_window", "SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY epoch(ts)::BIGINT RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS recent FROM events")
+@query("rate_window", "SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY floor(epoch(ts))::BIGINT RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS recent FROM events")
 def rate_window(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("s", seconds("ts"))
     return e.select("event_id", F.count("*").over(W.partitionBy("user_id").orderBy("s").rangeBetween(-3600, 0)).alias("recent"))
@@ -101,7 +101,7 @@ def json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(p, "$.k", "long").alias("k"), F.try_variant_get(p, "$.absent", "string").isNull().alias("absent"))
 
 
-@query("text_clean", "SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)), x -> trim(x, ' ')), x -> x <> ''), ' ')) AS cleaned FROM documents")
+@query("text_clean", "SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> ''), ' ')) AS cleaned FROM documents")
 def text_clean(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.clean_lines(F.col("text")).cast("binary")).alias("cleaned"))
 
@@ -112,7 +112,7 @@ def name_standardise(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.when(b == "Brand#1", "First").when(b.rlike(r"^Brand#\d$"), F.concat(F.lit("Single "), F.regexp_extract(b, r"(\d+)", 1))).otherwise(b).alias("name"))
 
 
-@query("line_list", "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents), k AS (SELECT upper(trim(line, ' ')) AS id, min((doc_id * 100000) + pos) AS first FROM l WHERE trim(line, ' ') <> '' AND NOT starts_with(trim(line, ' '), '#') GROUP BY 1) SELECT md5(id) AS id, first FROM k")
+@query("line_list", "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents), k AS (SELECT upper(replace(trim(line, ' '), 'ß', 'SS')) AS id, min((doc_id * 100000) + pos) AS first FROM l WHERE trim(line, ' ') <> '' AND NOT starts_with(trim(line, ' '), '#') GROUP BY 1) SELECT md5(id) AS id, first FROM k")
 def line_list(spark, sf_dir):
     from plenum.sources.files import line_list as scan
 
