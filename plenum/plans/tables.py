@@ -23,3 +23,13 @@ def session(name: str = "plenum", cores: int | None = None, partitions: int | No
         "spark.ui.showConsoleProgress": "false",
     }
     return SparkSession.builder.master(f"local[{cores}]").appName(name).config(map=conf).getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df without its lineage, from the folder that driver and executors share (spark.checkpoint.dir; a local one where that is unset)."""
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        import tempfile
+
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="plenum-"))
+    return df.checkpoint()

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 def arrivals(spark: SparkSession, folder: str, pending: DataFrame, suffix: str = "pdf") -> DataFrame:
     """A stream of files whose name, without its ending, is a pending id; the checkpoint knows which were seen."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(folder)
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", f"*.{suffix}").load(folder)
     named = files.select(F.upper(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)).alias("id"), "path", "length", (F.substring("content", 1, 4) == F.lit(b"%PDF")).alias("valid"))
     return named.join(F.broadcast(pending.select("id")), "id")
 
