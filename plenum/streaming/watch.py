@@ -20,8 +20,13 @@ def rates(spark: SparkSession, folder: str, schema: StructType, time: str, late:
     return rows.withWatermark(time, late).groupBy(F.window(time, width, step)).agg(F.count("*").alias("n"))
 
 
-def run_available(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Takes what is there now into a table in memory and returns it; another call goes on from the checkpoint."""
-    query = stream.writeStream.format("memory").queryName(name).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination()
+def run_available(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Appends what is there now to a Parquet table and returns the table; another call goes on from the checkpoint."""
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
+
+
+def snapshot(stream: DataFrame, name: str) -> DataFrame:
+    """An aggregate over all that is there now, as a table in memory."""
+    stream.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.table(name)

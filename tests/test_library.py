@@ -107,13 +107,13 @@ def test_streams_take_what_arrives_once(spark, tmp_path):
     (folder / "1abc.pdf").write_bytes(b"%PDF-1.4")
     (folder / "other.pdf").write_bytes(b"%PDF-1.4")
     pending = spark.createDataFrame([("1ABC",), ("2XYZ",)], "id string")
-    seen = watch.run_available(watch.arrivals(spark, str(folder), pending), "first", str(tmp_path / "check"))
+    seen = watch.run_available(watch.arrivals(spark, str(folder), pending), str(tmp_path / "seen"), str(tmp_path / "check"))
     assert [(r["id"], r["valid"]) for r in seen.collect()] == [("1ABC", True)]
     (folder / "2xyz.pdf").write_bytes(b"nothing")
-    seen = watch.run_available(watch.arrivals(spark, str(folder), pending), "second", str(tmp_path / "check"))
-    assert [(r["id"], r["valid"]) for r in seen.collect()] == [("2XYZ", False)]
+    seen = watch.run_available(watch.arrivals(spark, str(folder), pending), str(tmp_path / "seen"), str(tmp_path / "check"))
+    assert sorted((r["id"], r["valid"]) for r in seen.collect()) == [("1ABC", True), ("2XYZ", False)]
     rows = spark.range(100).select(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"), "id")
     rows.write.parquet(str(tmp_path / "events"))
     schema = StructType([StructField("ts", TimestampType()), StructField("id", LongType())])
-    counts = watch.run_available(watch.rates(spark, str(tmp_path / "events"), schema, "ts"), "rates", str(tmp_path / "check2"), "complete")
+    counts = watch.snapshot(watch.rates(spark, str(tmp_path / "events"), schema, "ts"), "rates")
     assert counts.agg(F.max("n")).first()[0] == 60

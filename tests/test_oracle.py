@@ -1,8 +1,11 @@
 """Every query of the library against its SQL, over the smallest tables."""
 
+import numbers
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from plenum.queries import registry
@@ -10,9 +13,15 @@ from plenum.queries import registry
 SF = "/root/testdata/sf0.001"
 
 
+def cell(x) -> str:
+    if pd.isna(x):
+        return "~"
+    return repr(float(x)) if isinstance(x, numbers.Number) and not isinstance(x, (bool, np.bool_)) else str(x)
+
+
 def rows(frame):
     frame = frame[sorted(frame.columns)]
-    return list(frame.columns), sorted(tuple("~" if x is None or x != x else repr(float(x)) if isinstance(x, float) else str(x) for x in r) for r in frame.itertuples(index=False))
+    return list(frame.columns), sorted(tuple(map(cell, r)) for r in frame.itertuples(index=False))
 
 
 @pytest.fixture(scope="module")
