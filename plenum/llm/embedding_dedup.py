@@ -193,3 +193,24 @@ def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_r
     out = rows.join(known, ["k1", "k2"], "left")
     component = F.coalesce("lowest", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+
+
+def sql(cosine: float = COSINE) -> str:
+    """The same links for DuckDB, by comparing all pairs of usable vectors."""
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+  SELECT vec_id, v FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), linked AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) END >= {cosine}
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a
+), lowest AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), links AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM linked GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM lowest LEFT JOIN links USING (vec_id)"""

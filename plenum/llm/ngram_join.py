@@ -19,6 +19,8 @@ A task returns stars, not pairs. Sets with equal content are one set throughout.
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -383,3 +385,32 @@ def representatives(docs: DataFrame) -> DataFrame:
         null = left.where(F.col("`doc_id`").isNull())
         left = left.where(F.col("`doc_id`").isNotNull()).dropDuplicates(["doc_id"]).unionByName(null)
     return left
+
+
+def sql(n: int = SHINGLE) -> str:
+    """The same join for DuckDB: sets as texts, equal ones once, and all pairs that share a shingle."""
+    lower = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+                      ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n - 1}], ' ')))) END AS s
+  FROM w
+), named AS (
+  SELECT doc_id, len(s)::BIGINT AS n, dense_rank() OVER (ORDER BY s) AS node, s FROM s
+), one AS (
+  SELECT node, any_value(n) AS n, any_value(s) AS s FROM named WHERE n > 0 GROUP BY node
+), posted AS (
+  SELECT node, n, unnest(s) AS shingle FROM one
+), linked AS (
+  SELECT a.node AS a, b.node AS b FROM posted a JOIN posted b ON a.shingle = b.shingle AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), ways AS (
+  SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reach AS (
+  SELECT node AS a, node AS b FROM one UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a
+), lowest AS (
+  SELECT reach.a AS node, min(named.doc_id) AS component_id FROM reach JOIN named ON reach.b = named.node GROUP BY reach.a
+)
+SELECT doc_id, n AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM named LEFT JOIN lowest USING (node)"""

@@ -53,4 +53,10 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_pareto_mixing": mixing.sql(), "op7_secret_scans": secrets.sql()}
+    return {
+        "op1_ngram_join": ngram_join.sql(),
+        "op2_substring_dedup": substring_dedup.sql(),
+        "op4_pareto_mixing": mixing.sql(),
+        "op7_secret_scans": secrets.sql(),
+        "op9_embedding_dedup": embedding_dedup.sql(),
+    }

@@ -277,3 +277,27 @@ def cleaned(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX) -> Data
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return _final(docs, run, f"doc_id {kind}, text string, repeats array<struct<first:int,end:int>>", window, prefix)
+
+
+def sql(window: int = WINDOW) -> str:
+    """The same removal for DuckDB: windows as texts, numbered in order of document and start."""
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), p AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+), g AS (
+  SELECT doc_id, unnest(range(1, len(w) - {window} + 2)) AS i,
+         unnest(list_transform(range(1, len(w) - {window} + 2), lambda i: array_to_string(w[i:i + {window - 1}], ' '))) AS gram
+  FROM d WHERE len(w) >= {window}
+), again AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id NULLS FIRST, i) > 1 AS again FROM g
+), marked AS (
+  SELECT p.doc_id, p.i, p.word,
+         coalesce(bool_or(again) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW), false) AS gone
+  FROM p LEFT JOIN again ON p.doc_id IS NOT DISTINCT FROM again.doc_id AND p.i = again.i
+), kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id IS NOT DISTINCT FROM kept.doc_id"""

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plenum.llm import compression_quality, embedding_dedup, media, mixing, ngram_join, packing, secrets, substring_dedup, token_counts, tokens, toxicity
+from plenum.llm import compression_quality, embedding_dedup, media, mixing, ngram_join, packing, queries, secrets, substring_dedup, token_counts, tokens, toxicity
 from plenum.llm.words import shingle_set, word_hashes
 
 SF = "/root/testdata/sf0.001"
@@ -338,3 +338,18 @@ def test_pipeline_keeps_and_packs_whole_documents(spark):
     good = {r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()}
     kept = {r["doc_id"] for r in corpus_pipeline.keep_quality(spark, docs, sf).collect()}
     assert len(good & kept) >= 0.9 * len(good)  # 60 labelled rows a class are few to learn from
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_agrees_with_sql(spark, name):
+    import duckdb
+
+    duck = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    wanted = duck.execute(queries.oracle_sql()[name])
+    names = sorted(c[0] for c in wanted.description)
+    at = [[c[0] for c in wanted.description].index(n) for n in names]
+    got = queries.queries()[name](spark, SF)
+    assert sorted(got.columns) == names
+    assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(tuple(r[i] for i in at) for r in wanted.fetchall())
