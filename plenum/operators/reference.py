@@ -58,3 +58,26 @@ def under(rows: DataFrame, blocks: DataFrame, path: str = "path", block: str = "
     """
     head = F.regexp_extract(path, r"^([^.\[]*)", 1)
     return rows.withColumn(block, head).join(blocks.select(block).distinct(), block)
+
+
+def closest(texts: DataFrame, candidates: DataFrame, text: str, candidate: str, name: str, width: int) -> DataFrame:
+    """text, score, ties, leader: how many of ``width`` positions the best candidates share, how many do, the smallest name.
+
+    Each text meets candidates that agree on a set of positions by an equi-join, for all 2 ** width sets. At the best
+    score a candidate agrees on one set only, so counts of sets are counts of candidates, and no text is compared
+    with all candidates. Texts of another length score 0. Null texts, and an empty table of candidates, give nothing.
+    """
+
+    def sets(df: DataFrame, column: str) -> DataFrame:
+        def held(m):
+            return F.concat(*[F.when(m.bitwiseAND(1 << i) != 0, F.substring(column, i + 1, 1)).otherwise("") for i in range(width)])
+
+        every = F.when(F.length(column) == width, F.sequence(F.lit(0), F.lit((1 << width) - 1))).otherwise(F.array(F.lit(0)))
+        return df.where(F.col(column).isNotNull()).withColumn("__mask", F.explode(every)).withColumn("__held", held(F.col("__mask")))
+
+    per = candidates.groupBy(candidate).agg(F.count("*").alias("n"), F.min(name).alias("least"))
+    per = sets(per, candidate).groupBy("__mask", "__held").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+    met = sets(texts.select(text).distinct(), text).join(per, ["__mask", "__held"]).withColumn("score", F.bit_count("__mask").cast("long"))
+    met = met.groupBy(text, "score").agg(F.sum("n").alias("ties"), F.min("least").alias("leader"))
+    best = met.groupBy(text).agg(F.max("score").alias("score"), F.max_by(F.struct("ties", "leader"), "score").alias("b"))
+    return best.select(text, "score", "b.ties", "b.leader")

@@ -126,13 +126,11 @@ def distinct_classify(spark, sf_dir):
 
 @query("tail_match", "WITH c AS (SELECT c_custkey, right(c_name, 4) AS t FROM customer), s AS (SELECT right(s_name, 4) AS u, min(s_suppkey) AS leader, count(*) AS ties FROM supplier GROUP BY 1), m AS (SELECT *, (substr(t,1,1)=substr(u,1,1))::INT + (substr(t,2,1)=substr(u,2,1))::INT + (substr(t,3,1)=substr(u,3,1))::INT + (substr(t,4,1)=substr(u,4,1))::INT AS score FROM c CROSS JOIN s) SELECT c_custkey, max(score)::BIGINT AS score, count(*) FILTER (score = top) AS ties, min(leader) FILTER (score = top) AS leader FROM (SELECT *, max(score) OVER (PARTITION BY c_custkey) AS top FROM m) GROUP BY c_custkey")
 def tail_match(spark, sf_dir):
-    # candidates and tails are four digits: both sides are compared once per distinct tail, a bounded number
     c = table(spark, sf_dir, "customer").select("c_custkey", F.right("c_name", F.lit(4)).alias("t"))
+    # candidates of the SQL are distinct tails, so each counts once
     s = table(spark, sf_dir, "supplier").groupBy(F.right("s_name", F.lit(4)).alias("u")).agg(F.min("s_suppkey").alias("leader"))
-    m = c.select("t").distinct().crossJoin(F.broadcast(s)).withColumn("score", text.hamming(F.col("t"), F.col("u")))
-    top = m.groupBy("t", "score").agg(F.count("*").alias("ties"), F.min("leader").alias("leader"))
-    top = top.groupBy("t").agg(F.max("score").alias("score"), F.max_by(F.struct("ties", "leader"), "score").alias("b"))
-    return c.join(top, "t").select("c_custkey", "score", "b.ties", "b.leader")
+    best = reference.closest(c, s, "t", "u", "leader", 4)
+    return c.join(best, "t").select("c_custkey", "score", "ties", "leader")
 
 
 @query("ranked_selection", "WITH r AS (SELECT *, CASE WHEN l_returnflag = 'R' AND l_quantity > 40 THEN 1 WHEN l_discount = 0.1 THEN 2 WHEN l_linestatus = 'O' THEN 3 ELSE 4 END AS rule FROM lineitem) SELECT l_orderkey, l_partkey, l_suppkey, rule::BIGINT AS rule, ['returned', 'cheap', 'open', 'none'][rule] AS reason FROM r QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY rule, l_extendedprice DESC, l_partkey, l_suppkey) = 1")

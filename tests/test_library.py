@@ -57,6 +57,18 @@ def test_ghosts_need_something_to_compare_with(spark):
     assert reference.ghosts(said, spark.createDataFrame([], "c string"), "c").count() == 0
 
 
+def test_closest_texts_are_those_of_all_comparisons(spark):
+    words = ["abcd", "abce", "xbcd", "zzzz", "ab", "abcd", None]
+    others = [("abcd", 3), ("abxx", 2), ("xbcz", 1), ("abcd", 5), ("q", 9)]
+    made = reference.closest(spark.createDataFrame([(w,) for w in words], "t string"), spark.createDataFrame(others, "u string, n int"), "t", "u", "n", 4)
+    expected = set()
+    for w in set(words) - {None}:
+        scores = [(sum(a == b for a, b in zip(w, u, strict=True)) if len(w) == len(u) == 4 else 0, n) for u, n in others]
+        top = max(x for x, _ in scores)
+        expected.add((w, top, sum(x == top for x, _ in scores), min(n for x, n in scores if x == top)))
+    assert {tuple(r) for r in made.collect()} == expected
+
+
 def test_rows_meet_the_block_of_their_path(spark):
     rows = spark.createDataFrame([("ligands[0].name",), ("ligandsextra.x",), ("receptor.chain",)], "path string")
     blocks = spark.createDataFrame([("ligands",), ("receptor",)], "block string")
