@@ -348,3 +348,46 @@ def tails(context: DataFrame, references: DataFrame) -> DataFrame:
     status = F.when(F.col("p").isNull(), "no_g_protein_found").when(F.col("tail").isNull(), "sequence_too_short").when(F.size("all") == 0, "no_valid_comparisons").otherwise("success")
     good = F.col("status") == "success"
     return rows.withColumn("status", status).select("entity", "status", F.when(good, F.coalesce(leader, F.get("ties", F.lit(0)))).alias("best"), F.when(good, F.col("score")).otherwise(0).alias("score"), F.when(good, F.col("tail")).alias("tail"), F.when(good, F.col("ties")).otherwise(F.array()).alias("ties"))
+
+
+def most(proteins: Column) -> Column:
+    """The name of those (name, n) with the largest n, of equal ones the first; null for fewer than two or if all n are 0."""
+    top = F.array_max(F.transform(proteins, lambda p: p["n"]))
+    return F.when((F.size(proteins) > 1) & (top > 0), F.get(F.filter(proteins, lambda p: p["n"] == top), F.lit(0))["name"])
+
+
+def refined(members: Column, proteins: Column, slugs: Column) -> Column:
+    """A roster with the slug of the protein that has most segments, where a chain is a fusion of several.
+
+    proteins: a map of chains to (name, n), names being accessions; slugs: a map of accessions to slugs. Slugs that
+    are no receptors, chains without proteins and accessions without a slug leave a member as it is.
+    """
+
+    def of(m):
+        slug = slugs[most(proteins[m["chain"]])]
+        return m.withField("slug", F.when(slug.isNotNull() & ~has_prefix(slug, NO_RECEPTORS), slug).otherwise(m["slug"]))
+
+    return F.transform(members, of)
+
+
+def override(chain: Column, name: Column, suggested: Column, members: Column, alerts: Column) -> Column:
+    """applied, trigger, and chain and name before and after: the suggested chain replaces one that is plainly wrong.
+
+    That is a chain that an alert calls invented, or one whose segments are incomplete while the suggested one's are
+    complete; members have chain, slug and status. Without a chain or a suggestion, or if they agree, nothing is applied.
+    """
+    own, other = _last(members, "chain", chain), _last(members, "chain", suggested)
+    differ = F.coalesce((chain != "") & (suggested != "") & (chain != suggested), F.lit(False))
+    invented = F.exists(F.coalesce(alerts, F.array().cast("array<struct<type:string,chains:array<string>>>")), lambda a: a["type"] == "HALLUCINATION")
+    better = (own["status"] == "INCOMPLETE_7TM") & (other["status"] == "COMPLETE")
+    trigger = F.when(differ & F.coalesce(invented, F.lit(False)), "HALLUCINATION").when(differ & better, "7TM_UPGRADE")
+    applied = trigger.isNotNull()
+    slug = F.when(other["slug"] != "", other["slug"])
+    return F.struct(
+        applied.alias("applied"),
+        trigger.alias("trigger"),
+        chain.alias("original_chain_id"),
+        F.when(applied, suggested).otherwise(chain).alias("corrected_chain_id"),
+        name.alias("original_uniprot"),
+        F.when(applied, F.coalesce(slug, name)).otherwise(name).alias("corrected_uniprot"),
+    )
