@@ -166,9 +166,9 @@ def orphan_radar(spark, sf_dir):
     return rosters(spark, sf_dir).select("k", F.array_join(F.transform("roster", lambda x: x.cast("string")), ",").alias("kept"), F.array_join(F.transform(F.array_sort(orphans), lambda x: x.cast("string")), ",").alias("orphans"))
 
 
-@query("chain_inventory", "SELECT p_type, string_agg(p_name, ', ' ORDER BY p_name) AS names, count(DISTINCT p_brand) AS brands FROM part WHERE p_size < 10 GROUP BY p_type")
+@query("chain_inventory", "SELECT p_type, string_agg(p_name, ', ' ORDER BY p_name) AS names, count(DISTINCT p_brand) AS brands FROM part GROUP BY p_type")
 def chain_inventory(spark, sf_dir):
-    p = table(spark, sf_dir, "part").where("p_size < 10")
+    p = table(spark, sf_dir, "part")
     return p.groupBy("p_type").agg(F.array_join(F.array_sort(F.collect_list("p_name")), ", ").alias("names"), F.size(F.collect_set("p_brand")).cast("long").alias("brands"))
 
 
