@@ -325,7 +325,7 @@ def join(docs: DataFrame) -> DataFrame:
     Columns other than doc_id and text aren't read.
     """
     scratch = Scratch(docs.sparkSession, "ngrams")
-    rows = keyed(docs, scratch)
+    rows, _ = keyed(docs, scratch)
     node = scratch.write(nodes(rows), "nodes")
     # step 1
     pairs, hot = _meetings(_prefix_postings(rows), scratch, "met1")

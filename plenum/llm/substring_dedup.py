@@ -41,20 +41,20 @@ def samples(h: np.ndarray, window: int, prefix: int) -> tuple[np.ndarray, np.nda
     return at, g
 
 
-def keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, text and key: a number per distinct (doc_id, text) in order of doc_id, null first.
+def keyed(docs: DataFrame, scratch: Scratch, *more: str) -> tuple[DataFrame, bool]:
+    """doc_id, text, more and key: a number per distinct (doc_id, text) in order of doc_id, null first; and whether keys may repeat.
 
     Where doc_ids are unique they are the keys. Else distinct rows are sorted over all tasks and numbered.
     """
-    d = only(docs, "doc_id", "text")
+    d = only(docs, "doc_id", "text", *more)
     odd = d.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
     if not odd:
-        return d.withColumn("key", F.col("doc_id").cast("long"))
+        return d.withColumn("key", F.col("doc_id").cast("long")), False
     d = d.withColumns({"a": F.xxhash64("text"), "b": F.xxhash64(F.lit(3), "text")})
     one = d.select("doc_id", "a", "b").distinct()
     order = scratch.write(one.repartitionByRange("doc_id", "a", "b").sortWithinPartitions("doc_id", "a", "b").withColumn("key", F.monotonically_increasing_id()), "keys")
     match = d["doc_id"].eqNullSafe(order["doc_id"]) & (d["a"] == order["a"]) & (d["b"] == order["b"])
-    return d.join(order, match).select(d["doc_id"], "text", "key")
+    return d.join(order, match).select(d["doc_id"], "text", *more, "key"), True
 
 
 def _texts(batch, column: int):
@@ -200,18 +200,23 @@ def spans(mask: np.ndarray) -> list[dict]:
 def later_starts(docs: DataFrame, scratch: Scratch, window: int = WINDOW, prefix: int = PREFIX) -> tuple[DataFrame, DataFrame]:
     """The keyed documents, and key, starts: per document the windows that also start earlier, packed."""
     prefix = min(prefix, window)
-    rows = keyed(docs, scratch)
-    found = scratch.write(_repeated_samples(rows.select("key", "text"), window, prefix), "samples")
+    rows, odd = keyed(docs, scratch)
+    one = rows.select("key", "text")
+    if odd:  # repeated rows are one document, so that none comes before itself
+        one = scratch.write(one.groupBy("key").agg(F.first("text").alias("text")), "one")
+    found = scratch.write(_repeated_samples(one, window, prefix), "samples")
     scratch.release()
     lists = scratch.write(found.groupBy("key").agg(F.array_sort(F.collect_set("at")).alias("at")), "lists")
     scratch.drop("samples")
-    some, _ = _attach(rows.select("key", "text"), lists, "at")
+    some, _ = _attach(one, lists, "at")
     late = _later_windows(some.select("key", "text", "at"), window, prefix)
     flat = scratch.write(late, "late")
     scratch.release()
     packed = scratch.write(flat.groupBy("key").agg(F.collect_list("starts").alias("starts")), "packed")
     scratch.drop("late")
     scratch.drop("lists")
+    if odd:
+        scratch.drop("one")
     scratch.release()
     return rows, packed
 

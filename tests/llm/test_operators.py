@@ -132,6 +132,18 @@ def test_substring_dedup_is_brute_force(spark, docs, which):
     assert sorted((tuple(r) for r in substring_dedup.dedup(frame).collect()), key=str) == brute_removed(texts(frame))
 
 
+def test_substring_dedup_keeps_one_copy_of_repeated_rows(spark):
+    passage, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "pq")
+    rows = [(20, passage, "en", "a", 0)] * 3 + [(21, f"x {passage} y", "en", "a", 0), (20, "too short", "en", "a", 0)]
+    rows += [(None, other, "en", "a", 0)] * 2 + [(22, other, "de", "a", 0)] * 2
+    for parts in (1, 3):  # copies in one batch and in several
+        frame = odd(spark, ODD + rows).repartition(parts)
+        got = sorted((tuple(r) for r in substring_dedup.dedup(frame).collect()), key=str)
+        assert got == brute_removed(texts(frame))
+        removed = sorted({(r[0] or 0, r[2]) for r in got if r[0] is None or r[0] >= 20})
+        assert removed == [(0, 0), (20, 0), (21, 30), (22, 30)]
+
+
 def test_repeats_are_maximal_spans(spark):
     passage = " ".join(f"p{i}" for i in range(25))
     frame = spark.createDataFrame([(1, f"a {passage} b", "", "", 0), (2, f"c d {passage} e", "", "", 0)], DOCS)
