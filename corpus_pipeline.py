@@ -14,8 +14,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents that the n-gram Jaccard join connects, the one with the smallest doc_id stays."""
-    return ngram_join.representatives(docs)
+    """Of the rows that the n-gram Jaccard join connects, exactly one stays: that with the smallest doc_id, null last."""
+    return ngram_join.one_of_each(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -326,6 +326,14 @@ def join(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "ngrams")
     rows, _ = keyed(docs, scratch)
+    named = _rooted(rows, scratch)
+    lowest = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("lowest"))
+    out = named.join(lowest.hint("merge"), "root", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _rooted(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """nodes() of keyed rows, and the root of each one's component; rows without words have one root, which means nothing."""
     node = scratch.write(nodes(rows), "nodes")
     # step 1
     pairs, hot = _meetings(_prefix_postings(rows), scratch, "met1")
@@ -365,10 +373,31 @@ def join(docs: DataFrame) -> DataFrame:
     links = scratch.write(_verify(sets.select("fp", "tokens"), groups), "links")
     scratch.drop("sets")
     root = components(links, scratch, "components").distinct()
-    named = node.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("lowest"))
-    out = named.join(lowest.hint("merge"), "root", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"))
+    return node.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs of which exactly one is left in each component. All columns stay.
+
+    It is the row with the smallest doc_id, null last; of rows with one doc_id and different texts the first in order
+    of a hash of the text, and of repeated rows the first in order of a hash of the whole row. Rows that link with
+    nothing and rows without words all stay, whatever their doc_id.
+    """
+    scratch = Scratch(docs.sparkSession, "one_of_each")
+    names = docs.columns
+    own = {n: n if n in ("doc_id", "text") else f"__c{i}" for i, n in enumerate(names)}
+    rows, odd = keyed(docs.select(*[F.col(f"`{n}`").alias(c) for n, c in own.items()]), scratch, *[c for c in own.values() if c.startswith("__c")])
+    named = scratch.write(_rooted(rows.select("doc_id", "text", "key"), scratch).where("n > 0").select("doc_id", "key", "root"), "named")
+    # keys are in order of doc_id, null first
+    first = named.groupBy("root").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.col("key"))).alias("some"), F.min("key").alias("any")).select("root", F.coalesce("some", "any").alias("first"))
+    gone = scratch.write(named.join(first.hint("merge"), "root").where("key <> first").select("key").distinct(), "gone")
+    left = join_checked(rows, gone, "key", "left_anti")
+    if odd:
+        again = scratch.write(named.groupBy("key").count().where("count > 1").select("key"), "again")
+        whole = F.struct(*[F.col(c) for c in own.values()])
+        once = join_checked(left, again, "key", "left_semi").groupBy("key").agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("__row")).select("__row.*")
+        left = join_checked(left, again, "key", "left_anti").select(*own.values()).unionByName(once)
+    return left.select(*[F.col(c).alias(n) for n, c in own.items()])
 
 
 def representatives(docs: DataFrame) -> DataFrame:

@@ -100,6 +100,22 @@ def test_one_row_of_each_component_stays(spark):
     assert ids == sorted([1, 3, 4, 5, None, 6, 8, 9], key=str)
 
 
+def test_pipeline_keeps_one_row_of_each_component_and_all_others(spark):
+    import corpus_pipeline
+
+    null = "a text that only rows without an id have"
+    more = [(None, null, "en", "a", 0), (None, null, "en", "b", 0), (None, "a lone text without any id", "en", "a", 0)]
+    more += [(10, "word", "de", "c", 4), (10, "its other text links with nothing at all", "de", "c", 4)]
+    for parts in (1, 4):
+        frame = odd(spark, ODD + more).repartition(parts)
+        kept = corpus_pipeline.keep_one_of_each(spark, frame, SF)
+        assert kept.columns == frame.columns
+        got = sorted(((r["doc_id"], r["text"]) for r in kept.select("doc_id", "text").collect()), key=str)
+        rows = ODD + more
+        alone = [rows[i] for i in (3, 4, 5, 9, 10, 11, 14, 16)]
+        assert got == sorted([(1, ODD[0][1]), (6, "word"), (None, null)] + [r[:2] for r in alone], key=str)
+
+
 def test_words_are_the_contracts_also_across_pieces(monkeypatch):
     from plenum.llm import words
 
