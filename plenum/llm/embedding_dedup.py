@@ -21,6 +21,8 @@ from .common import Scratch
 from .connected import components, merge_labels
 
 COSINE, BLOCK, PIVOT_ROWS, PIVOTS, STRIP = 0.95, 2048, 4096, 256, 512
+#: Pivots whose cosine is closer to 1 than PARALLEL are one; SLACK is far above the rounding errors of a border's distance.
+PARALLEL, SLACK = 1e-6, 1e-7
 
 
 def unit(rows: list[bytes], kind: str) -> np.ndarray:
@@ -53,12 +55,17 @@ def nodes_of(vectors: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame
 
 
 def pivots_of(nodes: DataFrame, kind: str, pivot_rows: int, most: int) -> dict[int, np.ndarray]:
-    """Per dimension one pivot for each pivot_rows nodes, up to ``most``: the nodes with the smallest hashes."""
+    """Per dimension one pivot for each pivot_rows nodes, up to ``most``: the nodes with the smallest hashes, one of each direction."""
     out = {}
     for dim, n in nodes.groupBy("dim").count().collect():
         count = max(1, min(most, n // pivot_rows))
         rows = nodes.where(F.col("dim") == dim).orderBy(F.xxhash64("k1"), "k1", "k2").limit(count).select("v").collect()
-        out[dim] = unit([bytes(r["v"]) for r in rows], kind)
+        p = unit([bytes(r["v"]) for r in rows], kind)
+        keep = [0]
+        for j in range(1, len(p)):
+            if (p[keep] @ p[j]).max() <= 1 - PARALLEL:
+                keep.append(j)
+        out[dim] = p[keep]
     return out
 
 
@@ -111,7 +118,7 @@ def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_r
                 row.append(own), to.append(mine), side.append(np.zeros(len(own), np.int8))
                 gap = np.sqrt(np.maximum(0.0, 2 - 2 * (p @ p.T)))
                 for j, (begin, many) in slices[dim].items():
-                    reach = (cos[np.arange(len(own)), cell] - cos[:, j]) <= radius * gap[cell, j]
+                    reach = (cos[np.arange(len(own)), cell] - cos[:, j]) <= radius * gap[cell, j] + SLACK
                     for other in range(begin, begin + many):
                         ahead = (mine - other) % n  # a pair of blocks meets in the one from which the other is less far round
                         go = np.flatnonzero(reach & (ahead > 0) & ((2 * ahead < n) | ((2 * ahead == n) & (other < mine))))

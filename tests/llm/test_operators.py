@@ -343,6 +343,17 @@ def test_embedding_links_are_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_embedding_links_of_one_direction(spark):
+    r = np.random.default_rng(2)
+    hot, other = r.normal(size=16), r.normal(size=(200, 16))
+    x = [hot * (1 + k / 7) for k in range(200)] + [hot * (1 + 1e-9 * r.normal(size=16)) for _ in range(100)]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate([*x, *other])], "vec_id long, embedding array<double>")
+    got = {row["vec_id"]: (row["n_links"], row["component_id"], row["kept"]) for row in embedding_dedup.near(frame, block=32, pivot_rows=8).collect()}
+    u = other / np.linalg.norm(other, axis=1, keepdims=True)
+    assert (u @ hot / np.linalg.norm(hot)).max() < 0.95 and np.triu(u @ u.T, 1).max() < 0.95
+    assert got == {i: (299, 0, i == 0) for i in range(300)} | {i: (0, i, True) for i in range(300, 500)}
+
+
 def test_empty_tables(spark, docs, labels):
     none = docs.limit(0)
     for made in (ngram_join.join(none), substring_dedup.dedup(none), token_counts.token_counts(none), mixing.mix(none), media.text_media(none), packing.pack(none), secrets.findings(none), toxicity.toxicity(none, labels), compression_quality.quality(none, labels), embedding_dedup.near(spark.createDataFrame([], "vec_id long, embedding array<float>"))):
