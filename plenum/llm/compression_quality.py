@@ -150,7 +150,14 @@ def quality(docs: DataFrame, labels: DataFrame, **more) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **more) -> DataFrame:
-    """The rows of docs whose score reaches ACCEPT, with docs' own columns."""
+    """The rows of docs whose score reaches ACCEPT, with docs' own columns.
+
+    Where the labels can't train a model (none outside the held-out fold, or too few of a class), its score is the
+    same for all texts and tells nothing about any, so all rows stay.
+    """
+    model = fit_tables(docs, labels, **more)
+    if not any(model.weights[1:]):
+        return docs
     names, own = docs.columns, "__quality_score"
-    scored = score(docs, fit_tables(docs, labels, **more), out=own)
+    scored = score(docs, model, out=own)
     return scored.where(F.col(own) >= ACCEPT).select(*[F.col(f"`{n}`") for n in names])

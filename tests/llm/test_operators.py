@@ -310,6 +310,14 @@ def test_classifiers_on_held_out_and_odd_rows(spark, module, label):
     assert len(none) == len(ODD)
 
 
+def test_without_a_model_all_rows_are_accepted(spark, docs, labels):
+    frame = odd(spark)
+    for few in (labels.limit(0), labels.where("quality = 0"), labels.withColumn("quality", F.lit(None).cast("int"))):
+        kept = compression_quality.accepted(frame, few)
+        assert kept.columns == frame.columns and kept.count() == len(ODD)
+        assert compression_quality.accepted(docs, few).count() == docs.count()
+
+
 def test_embedding_links_are_brute_force(spark):
     r = np.random.default_rng(1)
     x = r.normal(size=(400, 16))
