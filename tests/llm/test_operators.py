@@ -241,8 +241,9 @@ def test_media_round_trip_and_broken_files(spark):
 
 
 def test_mix_meets_targets(spark, docs):
-    rows = mixing.mix(docs, keep=("source",)).collect()
-    again = mixing.mix(docs.repartition(5), keep=("source",)).collect()
+    source = docs.select("doc_id", "source")
+    rows = mixing.mix(docs).join(source, "doc_id").collect()
+    again = mixing.mix(docs.repartition(5)).join(source, "doc_id").collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
     sizes = {r["source"]: r["source_size"] for r in rows}
     goal = {s: 0.0 for s in sizes}
@@ -262,6 +263,22 @@ def test_mix_meets_targets(spark, docs):
         assert all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in own)
 
 
+def test_mix_deals_out_rows_that_are_alike(spark):
+    """A third of all rows are alike, without an id: the target is met, and reruns agree."""
+    rows = [(None, "one two three", "en", "a", 13)] * 700 + [(i, f"{i} w", "en", "a", 5) for i in range(700)] + [(5000 + i, "x y", "de", "b", 3) for i in range(900)]
+    frame = spark.createDataFrame(rows, DOCS)
+    took, copies = [], []
+    for parts in (1, 7):
+        got = mixing.mix(frame.repartition(parts)).collect()
+        assert len(got) == len(rows)
+        for size, goal in {(r["source_size"], r["target"]) for r in got}:
+            assert abs(sum(r["taken"] for r in got if r["source_size"] == size) - goal) <= 1.5
+        took.append(sorted(map(str, got)))
+        copies.append(sorted(map(str, mixing.resampled(frame.repartition(parts)).collect())))
+        assert sum(r["copies"] for r in got) == len(copies[-1])
+    assert took[0] == took[1] and copies[0] == copies[1]
+
+
 def test_mix_on_odd_tables(spark):
     rows = mixing.mix(odd(spark)).collect()
     assert len(rows) == len(ODD) and all(r["taken"] <= 2 * r["size"] for r in rows)
