@@ -1,33 +1,38 @@
 """Bulk-synchronous best-fit packing of documents into sequences of a fixed capacity.
 
-A superstep takes all pieces of one length, longest lengths first. Pieces and gaps stand in order of size; every
-piece looks up its successor, the smallest gap that holds it; conflicts go by rank (the r-th piece of a length
-gets the r-th place), gaps shrink, and the next superstep begins. Pieces of a length are alike and gaps of a size
-are alike, so a sweep works on runs of ranks: a superstep touches at most as many runs as there are sizes,
-however many documents there are. Rows meet the plan only at the end, by length and rank.
-
-Ranks need no shared task: each task numbers its own pieces of a length, and a running sum over tasks of the
-counts gives where each task's numbers begin.
+Pieces and gaps are tables. Sequences are opened in bulk, as many as the words need at least; each is a gap. Then in
+supersteps:
+
+1. Pieces and gaps are range-sorted by size over all tasks, a piece before a gap of its size.
+2. A sweep upwards matches each gap to the largest piece before it that nobody took: pieces open brackets, gaps close
+   them. A task matches its own range; what it can't match is some gaps smaller than some pieces, in order.
+3. Between tasks only ranks matter: from each task's two counts follows which ranks of its gaps take which ranks of
+   earlier tasks' pieces. Rows with the same number of a pair meet.
+4. Gaps shrink by what they took, and the next superstep begins, until a sweep places hardly anything.
+
+Few pieces are left then, mostly too large for the gaps there are; tasks open sequences for them, best fit on mixed
+batches. Pieces of at most SMALL words are bundled first, so a sequence takes some 16 items at most and supersteps
+are as few, however short the documents.
 """
 
 from __future__ import annotations
 
 import bisect
 import zlib
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, join_checked, only
+from .common import Scratch, only
 from .tokens import Vocabulary
 
-CAPACITY, END = 1024, 2
+CAPACITY, END, SMALL, LEAST = 1024, 2, 64, 0.02
+PIECE, GAP, PLACED = 0, 1, 2
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, item long, inner long, total long"
+STATE = "kind int, size long, id long, sequence long, offset long, task int, rank long"
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -38,142 +43,224 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return ([(0, rest)] if rest else []) + [(s, capacity) for s in range(rest, n, capacity)]
 
 
-def pieces(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """A row per piece, with its task and its number among the task's pieces of that length."""
+def bundles(length: np.ndarray, small: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per piece the piece that stands for its bundle, its place in there, and the bundle's length (0 but for that piece).
+
+    Small pieces of like length are bundled in order until a bundle has ``small`` ids or more; others are alone.
+    """
+    item, inner, total = np.arange(len(length)), np.zeros(len(length), np.int64), length.copy()
+    few = np.flatnonzero(length <= small)
+    few = few[np.argsort(length[few], kind="stable")]
+    if len(few):
+        before = np.cumsum(length[few]) - length[few]
+        number = before // small
+        first = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+        own = np.repeat(first, np.diff(np.append(first, len(few))))
+        item[few], inner[few], total[few] = few[own], before - before[own], 0
+        total[few[first]] = np.add.reduceat(length[few], first)
+    return item, inner, total
+
+
+def pieces(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), capacity: int = CAPACITY, end: int = END, small: int = SMALL) -> DataFrame:
+    """A row per piece: what it is, the item it goes with and its place there; the item's length is with one of its pieces."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, task, count = vocabulary.encoder(), TaskContext.get().partitionId(), {}
+        encoder, number = vocabulary.encoder(), TaskContext.get().partitionId() << 33
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
-            out = tuple([] for _ in range(6))
+            out = tuple([] for _ in range(5))
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encoder.ids(text.as_py() or "") + last
                 for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    count[n] = nth = count.get(n, -1) + 1
-                    for column, x in zip(out, (doc, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)]), nth), strict=True):
+                    for column, x in zip(out, (doc, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])), strict=True):
                         column.append(x)
-            rows = len(out[0])
+            item, inner, total = bundles(np.array(out[3], np.int64), min(small, capacity // 2))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            made = [pa.array(c, k) for c, k in zip(out[:5], kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*made, pa.array(np.full(rows, task, np.int32)), pa.array(out[5], pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"])
+            made = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*made, pa.array(number + item), pa.array(inner), pa.array(total)], names=["doc_id", "piece", "start", "length", "ids_crc32", "item", "inner", "total"])
+            number += len(item)
 
     return only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, PIECES)
 
 
-@dataclass
-class Plan:
-    """Runs of places: pieces of ``length`` with ranks first .. last - 1 go ``each`` to a sequence, from ``sequence`` on, from ``offset`` on."""
+def matched(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pieces and of the gaps that take them, in a run sorted by size: the bracket matching.
 
-    length: np.ndarray
-    first: np.ndarray
-    last: np.ndarray
-    each: np.ndarray
-    sequence: np.ndarray
-    offset: np.ndarray
-    sequences: int
+    A piece goes one level up, a gap one down; on each level they alternate, so a piece and the next gap on its
+    level are a pair.
+    """
+    level = np.cumsum(np.where(kind == PIECE, 1, -1)) + (kind == GAP)
+    order = np.argsort(level, kind="stable")
+    pair = np.flatnonzero((np.diff(level[order]) == 0) & (kind[order[:-1]] == PIECE) & (kind[order[1:]] == GAP))
+    return order[pair], order[pair + 1]
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    """Best fit in decreasing order over counts by length (at most ``capacity`` entries).
+def between(counts: list[tuple[int, int, int]]) -> tuple[dict[int, list], dict[int, list], int]:
+    """Pairs across tasks from (task, gaps left, pieces left) in order of tasks: per task the runs (first rank, end, first pair) of its pieces and of its gaps, and how many pairs.
 
-    Gaps are runs of neighbouring sequences with equal room. A superstep sweeps gap sizes upwards from the
-    successor of the length, and each gap takes as many of the pieces as fit, since after the first it is the
-    smallest gap still.
+    Gaps have ranks upwards, pieces downwards from the largest. Two runs at most begin with each task.
     """
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    rooms: list[int] = []
-    rows, fresh = [], 0
-
-    def give(room: int, begin: int, n: int) -> None:
-        if room and n:
-            if room not in gaps:
-                gaps[room] = []
-                bisect.insort(rooms, room)
-            gaps[room].append((begin, n))
-
-    for length in sorted((n for n, c in counts.items() if c), reverse=True):
-        left, rank = counts[length], 0
-        returned = []
-        at = bisect.bisect_left(rooms, length)
-        while left and at < len(rooms):
-            room = rooms[at]
-            fit, runs = room // length, gaps[room]
-            while left and runs:
-                begin, n = runs.pop()
-                full = min(n, left // fit)
-                if full:
-                    rows.append((length, rank, rank + full * fit, fit, begin, capacity - room))
-                    returned.append((room - fit * length, begin, full))
-                    rank, left = rank + full * fit, left - full * fit
-                if full < n:
-                    some = min(left, fit)
-                    if some:
-                        rows.append((length, rank, rank + some, some, begin + full, capacity - room))
-                        returned.append((room - some * length, begin + full, 1))
-                        rank, left = rank + some, left - some
-                        full += 1
-                    if full < n:
-                        runs.append((begin + full, n - full))
-            if runs:
-                break
-            del gaps[room]
-            rooms.pop(at)
-        if left:
-            fit = capacity // length
-            full, some = divmod(left, fit)
-            if full:
-                rows.append((length, rank, rank + full * fit, fit, fresh, 0))
-                returned.append((capacity - fit * length, fresh, full))
-                rank, fresh = rank + full * fit, fresh + full
-            if some:
-                rows.append((length, rank, rank + some, some, fresh, 0))
-                returned.append((capacity - some * length, fresh, 1))
-                fresh += 1
-        for room, begin, n in returned:
-            give(room, begin, n)
-    made = np.array(rows, np.int64).reshape(-1, 6)
-    made = made[np.lexsort((made[:, 1], made[:, 0]))]
-    return Plan(*(made[:, i].copy() for i in range(6)), fresh)
-
-
-def _place(rows: DataFrame, made: Plan) -> DataFrame:
-    """Adds each row's sequence and offset; the plan is bounded by the capacity, so each task may hold it."""
-    by = {int(n): slice(*np.searchsorted(made.length, [n, n + 1])) for n in np.unique(made.length)}
+    stack, of_pieces, of_gaps, pairs = [], {}, {}, 0
+    for task, gaps, own in counts:
+        rank = 0
+        while rank < gaps and stack:
+            other, at, left = stack.pop()
+            n = min(left, gaps - rank)
+            of_pieces.setdefault(other, []).append((at, at + n, pairs))
+            of_gaps.setdefault(task, []).append((rank, rank + n, pairs))
+            pairs, rank = pairs + n, rank + n
+            if n < left:
+                stack.append((other, at + n, left - n))
+        if own:
+            stack.append((task, 0, own))
+    return of_pieces, of_gaps, pairs
+
+
+def _state(kind, size, ids, sequence=None, offset=None, task=None, rank=None) -> pa.RecordBatch:
+    n = len(ids)
+
+    def column(x, kind):
+        return pa.nulls(n, kind) if x is None else pa.array(np.broadcast_to(np.asarray(x), n), kind)
+
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+    return pa.RecordBatch.from_arrays([column(x, k) for x, k in zip((kind, size, ids, sequence, offset, task, rank), kinds, strict=True)], names=[c.split()[0] for c in STATE.split(", ")])
+
+
+def _sweep(capacity: int):
+    """A task's own matches: pieces placed and gaps updated; what is left has its rank, for other tasks."""
 
     def run(batches):
+        from pyspark import TaskContext
+
+        task, held = TaskContext.get().partitionId(), list(batches)
+        if not held:
+            return
+        size, kind, ids = (np.concatenate([np.asarray(b.column(i)) for b in held]) for i in range(3))
+        p, g = matched(kind)
+        room = size[g]
+        yield _state(PLACED, size[p], ids[p], ids[g], capacity - room)
+        more = room > size[p]
+        yield _state(GAP, (room - size[p])[more], ids[g][more])
+        left = np.ones(len(ids), bool)
+        left[p] = left[g] = False
+        gaps, own = np.flatnonzero(left & (kind == GAP)), np.flatnonzero(left & (kind == PIECE))[::-1]
+        for k, at in ((GAP, gaps), (PIECE, own)):
+            yield _state(k, size[at], ids[at], task=task, rank=np.arange(len(at)))
+
+    return run
+
+
+def _numbered(rest: DataFrame, of_pieces: dict[int, list], of_gaps: dict[int, list]) -> DataFrame:
+    """What tasks left, with the number of the pair that a row belongs to, or null."""
+
+    def run(batches):
+        for batch in batches:
+            kind, task, rank = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("kind", "task", "rank"))
+            pair = np.full(len(rank), -1, np.int64)
+            for k, runs in ((PIECE, of_pieces), (GAP, of_gaps)):
+                for t in np.unique(task[kind == k]):
+                    own = np.flatnonzero((kind == k) & (task == t))
+                    first, end, base = (np.array(x, np.int64) for x in zip(*runs.get(int(t), [(0, 0, 0)]), strict=True))
+                    i = np.maximum(0, np.searchsorted(first, rank[own], side="right") - 1)
+                    pair[own] = np.where(rank[own] < end[i], base[i] + rank[own] - first[i], -1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(pair, mask=pair < 0)], names=["kind", "size", "id", "pair"])
+
+    return rest.select("kind", "size", "id", "task", "rank").mapInArrow(run, "kind int, size long, id long, pair long")
+
+
+def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence (from 0) and offset of each size: best fit in decreasing order."""
+    rooms, number, offset = [], np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    fresh = 0
+    for i in np.argsort(-sizes, kind="stable").tolist():
+        n = int(sizes[i])
+        at = bisect.bisect_left(rooms, (n, -1))
+        if at < len(rooms):
+            room, k = rooms.pop(at)
+        else:
+            room, k, fresh = capacity, fresh, fresh + 1
+        number[i], offset[i] = k, capacity - room
+        if room > n:
+            bisect.insort(rooms, (room - n, k))
+    return number, offset
+
+
+def _opened(capacity: int):
+    """Sequences for the pieces that no sweep places, opened batch by batch."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        base = TaskContext.get().partitionId() << 33
         for batch in batches:
-            length, rank = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("length", "rank"))
-            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            order = np.argsort(length, kind="stable")
-            for own in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else []:
-                n = int(length[own[0]])
-                runs = by[n]
-                i = np.searchsorted(made.first[runs], rank[own], side="right") - 1
-                nth = rank[own] - made.first[runs][i]
-                sequence[own] = made.sequence[runs][i] + nth // made.each[runs][i]
-                offset[own] = made.offset[runs][i] + nth % made.each[runs][i] * n
-            keep = [batch.column(i) for i in range(5)]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(sequence), pa.array(offset)], names=[*batch.schema.names[:5], "sequence_id", "offset"])
-
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-
-
-def pack(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), capacity: int = CAPACITY, end: int = END) -> DataFrame:
+            ids, size = (np.asarray(batch.column(i)) for i in (0, 1))
+            number, offset = best_fit(size, capacity)
+            yield _state(PLACED, size, ids, (base + number) * 4 + 2, offset)
+            base += len(ids)
+
+    return run
+
+
+def fit(items: DataFrame, scratch: Scratch, capacity: int = CAPACITY, least: float = LEAST) -> tuple[DataFrame, int]:
+    """id, sequence, offset for all items (id, size; sizes below the capacity), and the number of supersteps.
+
+    Sweeps end when one places less than ``least`` of what was there, or nothing is left. Each superstep's result is
+    a table in the shared folder. The driver sees two counts a task.
+    """
+    spark = scratch.spark
+    sums = items.agg(F.count("*").alias("n"), F.sum("size").alias("all"), F.count_if(F.col("size") > capacity // 2).alias("half")).first()
+    left, log, steps = sums["n"], [], 0
+    now = items.select(F.lit(PIECE).alias("kind"), "size", "id")
+    if left:
+        gaps = spark.range(max(-(-sums["all"] // capacity), sums["half"]))
+        now = now.unionByName(gaps.select(F.lit(GAP).alias("kind"), F.lit(capacity).cast("long").alias("size"), (F.col("id") * 4 + 1).alias("id")))
+    while left:
+        dealt = now.select("size", "kind", "id").repartitionByRange("size", "kind", "id").sortWithinPartitions("size", "kind", "id")
+        met = scratch.write(dealt.mapInArrow(_sweep(capacity), STATE), f"met{steps}")
+        counts: dict[int, list[int]] = {}
+        placed = 0
+        for r in met.where(F.col("rank").isNotNull() | (F.col("kind") == PLACED)).groupBy("task", "kind").count().collect():  # two rows a task at most
+            if r["kind"] == PLACED:
+                placed += r["count"]
+            else:
+                counts.setdefault(r["task"], [0, 0])[r["kind"]] = r["count"]
+        of_pieces, of_gaps, pairs = between([(t, c[GAP], c[PIECE]) for t, c in sorted(counts.items())])
+        rest = _numbered(met.where("rank IS NOT NULL"), of_pieces, of_gaps)
+        side = {f"{c}{k}": F.max(F.when(F.col("kind") == k, F.col(c))) for k in (PIECE, GAP) for c in ("size", "id")}
+        across = rest.where("pair IS NOT NULL").groupBy("pair").agg(*[x.alias(n) for n, x in side.items()])
+        across = scratch.write(across.select(F.col(f"id{PIECE}").alias("id"), F.col(f"id{GAP}").alias("sequence"), (capacity - F.col(f"size{GAP}")).alias("offset"), (F.col(f"size{GAP}") - F.col(f"size{PIECE}")).alias("room")), f"across{steps}")
+        log += [met.where(F.col("kind") == PLACED).select("id", "sequence", "offset"), across.select("id", "sequence", "offset")]
+        now = rest.where("pair IS NULL").select("kind", "size", "id").unionByName(met.where(f"kind = {GAP} AND rank IS NULL").select("kind", "size", "id"))
+        now = now.unionByName(across.where("room > 0").select(F.lit(GAP).alias("kind"), F.col("room").alias("size"), F.col("sequence").alias("id")))
+        steps, placed, before = steps + 1, placed + pairs, left
+        left -= placed
+        if placed < least * before:
+            break
+    if left:
+        rest = now.where(F.col("kind") == PIECE).select("id", "size").repartition(F.xxhash64("id"))
+        log.append(scratch.write(rest.mapInArrow(_opened(capacity), STATE), "opened").select("id", "sequence", "offset"))
+    out = items.select("id", F.lit(0).cast("long").alias("sequence"), F.lit(0).cast("long").alias("offset")).limit(0)
+    for part in log:
+        out = out.unionByName(part)
+    return out, steps
+
+
+def pack(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(special=True), capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset: one row per piece of every row of docs.
 
     Null and empty texts are the end id alone. Null doc_ids and repeated rows are packed like any other, each
     on its own. Empty table: empty result. Columns other than doc_id and text aren't read. Equal lengths tie; who
     gets which place follows tasks and their order, and any choice fills sequences alike.
-    Tokens are counted once: pieces go to a table in the shared folder, so ranks hold when a task runs again.
+    Tokens are counted once: pieces go to a table in the shared folder, so their numbers hold when a task runs again.
+    A piece of the whole capacity is a sequence by itself.
     """
     scratch = Scratch(docs.sparkSession, "pack")
     rows = scratch.write(pieces(docs, vocabulary, capacity, end), "pieces")
-    per = rows.groupBy("task", "length").agg(F.count("*").alias("n"))
-    before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
-    per = scratch.write(per.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "counts")
-    counts = {r["length"]: r["n"] for r in per.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
-    ranked = join_checked(rows, per.select("task", "length", "base"), ["task", "length"], "inner")
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
-    return _place(ranked, plan(counts, capacity))
+    alone, parts = rows.where(F.col("length") == capacity), rows.where(F.col("length") < capacity)
+    placed, _ = fit(parts.where("total > 0").select(F.col("item").alias("id"), F.col("total").alias("size")), scratch, capacity)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    met = parts.join(placed.select(F.col("id").alias("item"), "sequence", "offset").hint("merge"), "item")
+    met = met.select(*columns, F.col("sequence").alias("sequence_id"), (F.col("offset") + F.col("inner")).alias("offset"))
+    return alone.select(*columns, (F.col("item") * 4).alias("sequence_id"), F.lit(0).cast("long").alias("offset")).unionByName(met)

@@ -15,19 +15,23 @@ from dataclasses import dataclass
 import numpy as np
 
 CACHE = 400_000
+#: The vocabulary's one added token.
+MARK, MARK_ID = "<|endoftext|>", 50256
 _SPLIT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?=\s)| \Z")
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """ranks: path of the rank file on every machine, or None for the installed one."""
+    """ranks: path of the rank file on every machine, or None for the installed one. special: whether the end mark's
+    text is the one id of that mark, as in the ``tokenizers`` file by default, or letters like any others."""
 
     ranks: str | None = None
     cache: int = CACHE
+    special: bool = False
 
     def encoder(self) -> Encoder:
-        key = (self.ranks, self.cache)
+        key = (self.ranks, self.cache, self.special)
         if key not in _encoders:
             _encoders[key] = Encoder(self)
         return _encoders[key]
@@ -43,7 +47,7 @@ class Encoder:
         with open(vocabulary.ranks or path("byte_bpe_50k.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bpe = tiktoken.Encoding(os.path.basename(vocabulary.ranks or "byte_bpe_50k"), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.most, self.first, self.later = vocabulary.cache, {}, {}
+        self.most, self.first, self.later, self.special = vocabulary.cache, {}, {}, vocabulary.special
 
     def _pack(self, text: str) -> bytes:
         return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
@@ -52,6 +56,8 @@ class Encoder:
         """The ids of a text as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
+        if self.special and MARK in text:
+            return np.array([MARK_ID], "<u4").tobytes().join(self.ids(x) for x in text.split(MARK))
         words = text.split(" ") if _ODD.search(text) is None else _SPLIT.split(text)
         known = self.later
         if len(known) > self.most:

@@ -167,13 +167,13 @@ def test_repeats_are_maximal_spans(spark):
     assert got == {1: (f"a {passage} b", []), 2: ("c d e", [(2, 27)])}
 
 
-def ids_of(text):
+def ids_of(text, special=False):
     from public_tokenizers import path
     from tokenizers import Tokenizer
 
     if not hasattr(ids_of, "t"):
         ids_of.t = Tokenizer.from_file(path("byte_bpe_50k.json"))
-        ids_of.t.encode_special_tokens = True
+    ids_of.t.encode_special_tokens = not special
     return ids_of.t.encode(text, add_special_tokens=False).ids
 
 
@@ -182,6 +182,9 @@ def test_ids_are_the_tokenizers(docs):
     hard = ["a  b", " a", "a ", "  ", "\n\n a\n b \tc", "it's ''s don't's", "x  y   z\x1c q", "1 22  333", "É. ß,a!! ###"] + [r[1] or "" for r in ODD]
     for text in hard + [t for _, t in texts(docs)[:60]]:
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == ids_of(text), text[:80]
+    marks, m = tokens.Vocabulary(special=True).encoder(), "<|endoftext|>"
+    for text in [m, f"a{m}", f" {m} b", f"{m}{m} c {m}", f"no\n{m}\n\nyes"]:
+        assert np.frombuffer(marks.ids(text), "<u4").tolist() == ids_of(text, special=True), text
 
 
 def test_token_counts_by_separator_scan(spark):
@@ -201,27 +204,77 @@ def test_packing_cuts_and_fills(spark, docs, which):
         assert [o for o, _ in places] == [sum(n for _, n in places[:i]) for i in range(len(places))] and sum(n for _, n in places) <= 1024
     want = []
     for d, t in texts(frame):
-        ids = np.array([*ids_of(t or ""), 2], "<u4").tobytes()
+        ids = np.array([*ids_of(t or "", special=True), 2], "<u4").tobytes()
         want += [(d, k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(packing.cut(len(ids) // 4))]
     assert sorted((tuple(r)[:5] for r in rows), key=str) == sorted(want, key=str)
     total = sum(r["length"] for r in rows)
     assert len(full) <= -(-total // 1024) * 1.02 + 1
 
 
-def test_best_fit_plan_is_row_by_row_best_fit():
-    r = random.Random(3)
-    for _ in range(20):
-        lengths = [r.randrange(1, 65) for _ in range(r.randrange(1, 300))]
-        gaps = []
-        for n in sorted(lengths, reverse=True):
-            fits = [g for g in gaps if g >= n]
-            if fits:
-                gaps.remove(min(fits))
-                gaps.append(min(fits) - n)
-            else:
-                gaps.append(64 - n)
-        counts = {n: lengths.count(n) for n in set(lengths)}
-        assert packing.plan(counts, 64).sequences == len(gaps)
+def best_fit_sequences(lengths, capacity):
+    gaps, fresh = [], 0
+    for n in sorted(lengths, reverse=True):
+        fits = [g for g in gaps if g >= n]
+        if fits:
+            gaps.remove(min(fits))
+        else:
+            fresh += 1
+        gaps.append((min(fits) if fits else capacity) - n)
+    return fresh
+
+
+def test_a_sweep_is_the_bracket_matching():
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        kind = r.integers(0, 2, r.integers(0, 40))
+        stack, want = [], []
+        for i, k in enumerate(kind):
+            if k == packing.PIECE:
+                stack.append(i)
+            elif stack:
+                want.append((stack.pop(), i))
+        got = sorted(zip(*(x.tolist() for x in packing.matched(kind)), strict=True), key=lambda x: x[1])
+        assert got == want
+        # cut into tasks, what tasks leave meets by rank
+        cuts = sorted(r.integers(0, len(kind) + 1, 3).tolist())
+        pairs, counts, left = [], [], {}
+        for t, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(kind)], strict=True)):
+            p, g = packing.matched(kind[a:b])
+            pairs += list(zip((a + p).tolist(), (a + g).tolist(), strict=True))
+            rest = [i for i in range(a, b) if i - a not in {*p.tolist(), *g.tolist()}]
+            left[t] = [i for i in rest if kind[i] == packing.GAP], [i for i in rest if kind[i] == packing.PIECE][::-1]
+            counts.append((t, len(left[t][0]), len(left[t][1])))
+        of_pieces, of_gaps, n = packing.between(counts)
+        across = {}
+        for side, runs in ((1, of_pieces), (0, of_gaps)):
+            for t, own in runs.items():
+                for first, end, base in own:
+                    for k in range(first, end):
+                        across.setdefault(base + k - first, {})[side] = left[t][side][k]
+        assert len(across) == n and sorted(pairs + [(x[1], x[0]) for x in across.values()], key=lambda x: x[1]) == want
+
+
+@pytest.mark.parametrize("lengths", ["even", "short", "one", "none"])
+def test_supersteps_fit_nearly_as_well_as_one_by_one(spark, lengths):
+    from plenum.llm.common import Scratch
+
+    r = np.random.default_rng(4)
+    sizes = {"even": r.integers(1, 1024, 4000), "short": 1 + r.geometric(1 / 30, 8000), "one": np.full(700, 342), "none": np.zeros(0, int)}[lengths].tolist()
+    held, total = spark.createDataFrame(list(enumerate(sizes)), "id long, size long").repartition(5), sum(sizes)
+    if lengths == "short":  # as pack() bundles them
+        item, _, whole = packing.bundles(np.array(sizes), 64)
+        held = spark.createDataFrame([(i, int(n)) for i, n in enumerate(whole) if n], "id long, size long").repartition(5)
+        assert np.bincount(item, sizes, len(sizes)).tolist() == whole.tolist() and whole.max() <= 64 + max(sizes)
+    out, steps = packing.fit(held, Scratch(spark, "fit"))
+    rows = out.join(held, "id").collect()
+    assert len(rows) == held.count() and steps <= 20
+    full = {}
+    for row in rows:
+        full.setdefault(row["sequence"], []).append((row["offset"], row["size"]))
+    for places in full.values():
+        places.sort()
+        assert [o for o, _ in places] == [sum(n for _, n in places[:i]) for i in range(len(places))] and sum(n for _, n in places) <= 1024
+    assert len(full) <= max(best_fit_sequences(sizes, 1024), -(-total // 1024)) * 1.01 + 8
 
 
 def test_media_round_trip_and_broken_files(spark):
