@@ -5,16 +5,20 @@ shingles has to share at least ceil(t n) with a partner, so the first n - ceil(t
 least l common ones, for any l. A longer prefix therefore allows to ask for more matches before anything is
 compared:
 
-1. Every set gives its prefix for l = 1 + SLACK n. A shingle that HOT sets or more have is hot: it makes no pairs and
-   is only counted for those who have it. For a pair the set with the smaller l decides: l less its hot shingles are
-   the shared ones it must have; pairs below that are no candidates.
-2. A set whose hot shingles are too many for this is costly: its prefix is lengthened to the whole set, and the same
-   is done among costly sets, which asks for the whole overlap less the hot shingles of either.
-3. What even so consists of hot shingles by t or more (large groups of near copies) is grouped by its own hot
-   shingles, each pointing at the smallest set that has it, which needs no pairs.
-
-Candidates of all three form groups, and groups are verified exactly, in blocks of bounded size, on whole sets.
-A task returns stars, not pairs. Sets with equal content are one set throughout.
+1. Every set gives its prefix for l = 1 + SHARES[0] n. A shingle that HOT sets or more have is hot: it makes no pairs,
+   as they would cost most, and is only counted for those who have it. For a pair the set with the smaller l
+   decides: l less its hot shingles are the shared ones it must have; pairs below that are no candidates.
+2. A set with too many hot shingles for its l is costly. The share of hot ones in its prefix estimates how many a
+   longer prefix has, and with that the length at which enough cold ones are left to ask for. Costly sets meet again
+   with longer prefixes and larger l, up to the whole set, until they aren't costly any more; lengths at which no
+   set's estimate is good are skipped. Of two sets one at least has to be done for the pair to be found, so whoever
+   isn't done takes part.
+3. What even as a whole set consists of hot shingles by t or more (large groups of near copies) is grouped by its own
+   shingles; each batch of sets joins those that share one first, and tells one of them per shingle.
+
+Candidates of all three form groups, and groups are verified exactly on whole sets: large ones first against one
+member, which leaves few of a group of near copies; only these meet all others, in blocks of bounded size. A task
+returns stars, not pairs. Sets with equal content are one set throughout.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from .connected import components, merge_labels
 from .substring_dedup import keyed
 from .words import mix, shingle_set, word_hashes
 
-SHINGLE, HOT, SLACK, BLOCK = 5, 32, 0.08, 128
+SHINGLE, HOT, SHARES, BLOCK, HUB_BYTES = 5, 32, (0.04, 0.2, 0.5), 128, 1 << 25
 _KIND = 40
 POSTING, TOLD, COUNTED = 0, 1, 2
 
@@ -41,9 +45,14 @@ def need(n):
     return (3 * n + 3) // 4
 
 
-def slack(n):
-    """The matches that step 1 asks of a set."""
-    return 1 + (n * int(SLACK * 100)) // 100
+def slack(n, share):
+    """The matches asked of a set whose prefix is lengthened by a share of it."""
+    return 1 + (n * round(share * 100)) // 100
+
+
+def prefix(n, share):
+    """How long that prefix is; without a share it's the whole set."""
+    return n if share is None else n - need(n) + min(need(n), slack(n, share))
 
 
 def set_key(h: np.ndarray) -> int:
@@ -206,11 +215,16 @@ def _with_hot(pairs: DataFrame, hot: DataFrame) -> DataFrame:
     return pairs.withColumns({f"h{s}": F.coalesce(f"h{s}", F.lit(0)) for s in "ab"})
 
 
-def _slack(n: Column) -> Column:
-    return 1 + F.floor(n * int(SLACK * 100) / 100)
+def _slack(n: Column, share: float) -> Column:
+    return 1 + F.floor(n * round(share * 100) / 100)
+
+
+def _length(n: Column, share: float | None) -> Column:
+    least = F.ceil(n * 0.75)
+    return n if share is None else n - least + F.least(least, _slack(n, share))
 
 
-def _prefix_postings(rows: DataFrame) -> DataFrame:
+def _text_postings(rows: DataFrame, share: float) -> DataFrame:
     def run(batches):
         for batch in batches:
             seen: dict = {}
@@ -219,7 +233,7 @@ def _prefix_postings(rows: DataFrame) -> DataFrame:
                 if n:
                     fp = set_key(h)
                     if fp not in seen:
-                        seen[fp] = (fp, n, h[: n - need(n) + min(need(n), slack(n))].copy())
+                        seen[fp] = (fp, n, h[: prefix(n, share)].copy())
             made = _post(seen.values())
             if made is not None:
                 yield made
@@ -227,29 +241,76 @@ def _prefix_postings(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "token long, fp long, meta long")
 
 
-def _whole_postings(sets: DataFrame) -> DataFrame:
+def _set_postings(sets: DataFrame, share: float | None) -> DataFrame:
     def run(batches):
         for batch in batches:
             fps, ns = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            made = _post((fp, n, np.frombuffer(x, np.uint64)) for fp, n, x in zip(fps, ns, batch.column(2).to_pylist(), strict=True))
+            made = _post((fp, n, np.frombuffer(x, np.uint64)[: prefix(n, share)]) for fp, n, x in zip(fps, ns, batch.column(2).to_pylist(), strict=True))
             if made is not None:
                 yield made
 
     return sets.select("fp", "n", "tokens").mapInArrow(run, "token long, fp long, meta long")
 
 
-def _hub_edges(sets: DataFrame) -> DataFrame:
-    """Each set and the smallest set that has one of its first n - ceil(t n) + 1 shingles."""
+def _candidates(pairs: DataFrame, hot: DataFrame, share: float | None) -> DataFrame:
+    """a, b of the pairs that share enough: what l asks for, or without a share the whole overlap, less hot shingles."""
+    found = _with_hot(pairs, hot)
+    if share is None:
+        return found.where(7 * (F.col("c") + F.least("ha", "hb")) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
+    la, lb = (_slack(F.col(n), share) for n in ("na", "nb"))
+    must = F.when(la < lb, la - F.col("ha")).when(lb < la, lb - F.col("hb")).otherwise(la - F.least("ha", "hb"))
+    return found.where(F.col("c") >= must).select("a", "b")
+
+
+def _costly(share: float) -> Column:
+    """Whether hot shingles may leave nothing to ask for, for a partner of any size that the threshold allows."""
+    return F.coalesce(F.col("hot"), F.lit(0)) >= _slack(F.col("n") * 0.75, share)
+
+
+def estimate(shares: tuple[float, ...], now: float) -> Column:
+    """The place in shares of the least one at which a set (n, hot in the prefix of share now) should be done, or their number.
+
+    A longer prefix is taken to have the share of hot shingles that the present one has, and a quarter more.
+    """
+    rate = F.col("hot") / _length(F.col("n"), now)
+    out = F.lit(len(shares))
+    for i, share in reversed(list(enumerate(shares))):
+        out = F.when(1.25 * rate * _length(F.col("n"), share) < _slack(F.col("n") * 0.75, share), i).otherwise(out)
+    return out
+
+
+def _hub_edges(sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """fp, hub: edges that connect all sets which share one of their first n - ceil(t n) + 1 shingles.
+
+    Inside a batch they are stars; a shingle leaves a batch once, with one set that stands for all who have it there.
+    """
 
     def run(batches):
         for batch in batches:
-            for fp, n, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                t = np.frombuffer(x, np.int64)[: n - need(n) + 1]
-                yield _batch(t, np.full(len(t), fp), names=("token", "fp"))
-
-    posted = sets.select("fp", "n", "tokens").mapInArrow(run, "token long, fp long")
-    hub = posted.groupBy("token").agg(F.min("fp").alias("hub"), F.count("*").alias("m")).where("m > 1").select("token", "hub")
-    return posted.join(hub, "token").where("fp <> hub").select("fp", "hub").distinct()
+            fps = np.asarray(batch.column(0))
+            tokens = [np.frombuffer(x, np.int64)[: n - need(n) + 1] for n, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            if not tokens:
+                continue
+            t, owner = np.concatenate(tokens), np.repeat(np.arange(len(fps)), [len(x) for x in tokens])
+            order = np.argsort(t, kind="stable")
+            t, owner = t[order], owner[order]
+            same = np.flatnonzero(t[1:] == t[:-1])
+            parent = np.arange(len(fps))
+            merge_labels(parent, owner[same], owner[same + 1])
+            first = np.concatenate(([True], t[1:] != t[:-1]))
+            out = np.flatnonzero(parent != np.arange(len(fps)))
+            yield _batch(
+                pa.concat_arrays([pa.nulls(len(out), pa.int64()), pa.array(t[first])]),
+                np.concatenate((fps[out], fps[parent[owner[first]]])),
+                pa.concat_arrays([pa.array(fps[parent[out]]), pa.nulls(int(first.sum()), pa.int64())]),
+                names=("token", "fp", "hub"),
+            )
+
+    told = scratch.write(sets.select("fp", "n", "tokens").mapInArrow(run, "token long, fp long, hub long"), "told")
+    posted = told.where("token IS NOT NULL").select("token", "fp")
+    hub = posted.groupBy("token").agg(F.min("fp").alias("hub"), F.max("fp").alias("other")).where("hub <> other").select("token", "hub")
+    across = posted.join(hub, "token").where("fp <> hub").select("fp", "hub")
+    return told.where("hub IS NOT NULL").select("fp", "hub").unionByName(across).distinct()
 
 
 def overlaps(tokens: list[np.ndarray]) -> np.ndarray:
@@ -289,12 +350,47 @@ def verified(fps: np.ndarray, tokens: list[np.ndarray]) -> tuple[np.ndarray, np.
     return fps[out], fps[parent[out]]
 
 
-def _verify(sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """fp, other: links of each group (fp, root), found block by block."""
-    size = groups.groupBy("root").agg(F.count("*").alias("m")).select("root", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    member = join_checked(groups.withColumnRenamed("node", "fp"), size, "root", "inner").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    rows = sets.join(member.hint("merge"), "fp").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp", "tokens")
+def _to_hub(sets: DataFrame, member: DataFrame, scratch: Scratch) -> DataFrame:
+    """fp, root, m, linked for the members of large groups: whether the set links with the group's smallest one."""
+    hubs = sets.join(member.where("fp = root").select("fp").hint("merge"), "fp").select(F.col("fp").alias("root"), F.col("tokens").alias("hub"))
+    hubs = scratch.write(hubs, "hubs")
+    rows = sets.join(member.hint("merge"), "fp")
+    few = (hubs.agg(F.sum(F.octet_length("hub"))).first()[0] or 0) <= HUB_BYTES
+    rows = rows.join(F.broadcast(hubs), "root") if few else rows.join(hubs.hint("merge"), "root")
+
+    def run(batches):
+        for batch in batches:
+            linked = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                linked[i] = 7 * int((b[at] == a).sum()) >= 3 * (len(a) + len(b))
+            yield _batch(*batch.columns[:3], linked, names=("fp", "root", "m", "linked"))
+
+    return scratch.write(rows.select("fp", "root", "m", "tokens", "hub").mapInArrow(run, "fp long, root long, m long, linked boolean"), "judged")
+
+
+def _verify(sets: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
+    """fp, other: links that connect what is connected in each group (node, root).
+
+    A group of BLOCK sets at most is one cell. Of a larger one the members that link with the smallest set are
+    connected by that; the others meet the whole group, block by block. So a member has as many copies as there are
+    blocks of others: none in a group around its smallest set.
+    """
+    size = groups.groupBy("root").agg(F.count("*").alias("m"))
+    member = scratch.write(join_checked(groups.withColumnRenamed("node", "fp"), size, "root", "inner"), "members")
+    zero = F.lit(0).cast("long")
+    cells = member.where(F.col("m") <= BLOCK).select("fp", "root", zero.alias("i"), zero.alias("j"))
+    stars = None
+    if member.where(F.col("m") > BLOCK).limit(1).count():
+        judged = _to_hub(sets, member.where(F.col("m") > BLOCK), scratch)
+        stars = judged.where("linked AND fp <> root").select("fp", F.col("root").alias("other"))
+        alone = judged.where("NOT linked").groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("r"))
+        rows = join_checked(judged, alone, "root", "inner").withColumns({"h": F.xxhash64("fp"), "k": F.ceil(F.col("m") / BLOCK)})
+        near = rows.select("fp", "root", F.explode(F.sequence(zero, F.col("r") - 1)).alias("i"), F.pmod("h", "k").alias("j"))
+        far = rows.where("NOT linked").select("fp", "root", F.pmod("h", "r").alias("i"), F.explode(F.sequence(zero, F.col("k") - 1)).alias("j"))
+        cells = cells.unionByName(near).unionByName(far)
+    rows = sets.join(cells.hint("merge"), "fp").select("root", "i", "j", "fp", "tokens")
 
     def run(batches):
         key, fps, tokens = None, [], []
@@ -312,7 +408,8 @@ def _verify(sets: DataFrame, groups: DataFrame) -> DataFrame:
                 fps.append(fp), tokens.append(np.frombuffer(x, np.uint64))
         yield close()
 
-    return rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(run, "fp long, other long")
+    links = rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(run, "fp long, other long")
+    return links if stars is None else links.unionByName(stars)
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -336,20 +433,18 @@ def _rooted(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """nodes() of keyed rows, and the root of each one's component; rows without words have one root, which means nothing."""
     node = scratch.write(nodes(rows), "nodes")
     # step 1
-    pairs, hot = _meetings(_prefix_postings(rows), scratch, "met1")
+    pairs, hot = _meetings(_text_postings(rows, SHARES[0]), scratch, "met0")
     scratch.release()
-    hot = scratch.write(hot, "hot1")
-    found = _with_hot(pairs, hot).withColumns({"la": _slack(F.col("na")), "lb": _slack(F.col("nb"))})
-    must = F.when(F.col("la") < F.col("lb"), F.col("la") - F.col("ha")).when(F.col("lb") < F.col("la"), F.col("lb") - F.col("hb")).otherwise(F.col("la") - F.least("ha", "hb"))
-    first = scratch.write(found.where(F.col("c") >= must).select("a", "b"), "first")
-    scratch.drop("met1")
+    hot = scratch.write(hot, "hot0")
+    edges = scratch.write(_candidates(pairs, hot, SHARES[0]), "edges0")
+    scratch.drop("met0")
     # the sets that later steps need
     one = node.where("n > 0").groupBy("fp", "n").agg(F.min("key").alias("key"))
-    costly = F.coalesce(F.col("hot"), F.lit(0)) >= _slack(F.col("n") * 0.75)
-    wanted = first.select(F.col("a").alias("fp")).unionByName(first.select(F.col("b").alias("fp"))).unionByName(hot.select("fp")).distinct()
-    wanted = one.join(wanted, "fp").join(hot, "fp", "left").withColumn("costly", costly)
-    wanted = wanted.join(first.select(F.col("a").alias("fp")).unionByName(first.select(F.col("b").alias("fp"))).distinct().withColumn("paired", F.lit(True)), "fp", "left").where("costly OR paired")
-    wanted = scratch.write(wanted.select("key", "fp", "n", "costly"), "wanted")
+    paired = edges.select(F.col("a").alias("fp")).unionByName(edges.select(F.col("b").alias("fp"))).distinct()
+    wanted = one.join(paired.unionByName(hot.select("fp")).distinct(), "fp").join(hot, "fp", "left").withColumn("costly", _costly(SHARES[0]))
+    wanted = wanted.join(paired.withColumn("paired", F.lit(True)), "fp", "left").where("costly OR paired")
+    wanted = scratch.write(wanted.select("key", "fp", "n", "costly", F.when(F.col("costly"), estimate(SHARES[1:], SHARES[0])).alias("step")), "wanted")
+    useful = {r["step"] for r in wanted.where("costly").select("step").distinct().collect()}  # one row a share at most
 
     def collect(batches):
         for batch in batches:
@@ -361,16 +456,21 @@ def _rooted(rows: DataFrame, scratch: Scratch) -> DataFrame:
     texts = join_checked(rows.select("key", "text"), wanted, "key", "inner")
     sets = scratch.write(texts.select("text", "fp", "n", "costly").mapInArrow(collect, "fp long, n long, costly boolean, tokens binary"), "sets")
     # step 2
-    pairs, hot = _meetings(_whole_postings(sets.where("costly")), scratch, "met2")
-    hot = scratch.write(hot, "hot2")
-    found = _with_hot(pairs, hot)
-    second = found.where(7 * (F.col("c") + F.least("ha", "hb")) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
+    costly = sets.where("costly").select("fp", "n", "tokens")
+    for k, share in enumerate((*SHARES[1:], None)):
+        if share is not None and k not in useful:
+            continue
+        pairs, hot = _meetings(_set_postings(costly, share), scratch, f"met{k + 1}")
+        hot = scratch.write(hot, f"hot{k + 1}")
+        edges = edges.unionByName(scratch.write(_candidates(pairs, hot, share), f"edges{k + 1}"))
+        scratch.drop(f"met{k + 1}")
+        met = join_checked(costly, hot, "fp", "inner")
+        left = met.where(_costly(share)) if share is not None else met.where(F.col("hot") >= F.ceil(F.col("n") * 0.75))
+        costly = scratch.write(left.select("fp", "n", "tokens"), f"costly{k + 1}")
     # step 3
-    heavy = join_checked(sets.where("costly"), hot, "fp", "inner").where(F.col("hot") >= F.ceil(F.col("n") * 0.75))
-    third = _hub_edges(heavy)
-    edges = first.unionByName(second).union(third)
+    edges = edges.union(_hub_edges(costly, scratch))
     groups = scratch.write(components(edges, scratch, "groups").distinct(), "grouped")
-    links = scratch.write(_verify(sets.select("fp", "tokens"), groups), "links")
+    links = scratch.write(_verify(sets.select("fp", "tokens"), groups, scratch).where("fp <> other"), "links")
     scratch.drop("sets")
     root = components(links, scratch, "components").distinct()
     return node.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -400,22 +500,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return left.select(*[F.col(c).alias(n) for n, c in own.items()])
 
 
-def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of docs of which one is left in each component: the one with the smallest doc_id. All columns stay.
-
-    Rows without words and rows with a null doc_id stay. Of rows that repeat a doc_id that stays, one is left.
-    """
-    scratch = Scratch(docs.sparkSession, "representatives")
-    found = scratch.write(join(docs), "joined")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    names = docs.columns
-    left = join_checked(docs.withColumn("__gone", F.col("`doc_id`").cast("long")), gone, "__gone", "left_anti").select(*[F.col(f"`{n}`") for n in names])
-    if found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        null = left.where(F.col("`doc_id`").isNull())
-        left = left.where(F.col("`doc_id`").isNotNull()).dropDuplicates(["doc_id"]).unionByName(null)
-    return left
-
-
 def sql(n: int = SHINGLE) -> str:
     """The same join for DuckDB: sets as texts, equal ones once, and all pairs that share a shingle."""
     lower = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
