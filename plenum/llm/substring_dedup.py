@@ -1,17 +1,22 @@
 """Substring dedup by prefix-partitioned suffix trees over words.
 
-The tree's suffixes start at words. Its deep internal nodes are the sequences of ``window`` words that at least two
-suffixes begin with; the stretches that such nodes cover are the repeats. Two things keep the tree small:
-
-* Only suffixes at sampled positions enter the upper level. A window's sample is the position of the smallest hash
-  among its ``prefix``-word sequences, so equal windows have equal samples, and a sample stands for several windows.
-* Suffixes are partitioned by a prefix of variable length. The first ``prefix`` words split all samples; a suffix
-  whose prefix occurs once has no internal node below it and goes no further. Only where a prefix is repeated does
-  it grow to the whole window, which splits the suffixes again into the groups of the deep nodes.
-
-Groups stream through a task in sorted order, so memory doesn't follow their size. Each batch sends at most one
-row of a frequent prefix or window, however often it holds it, so a hot passage has as many rows as there are
-batches. Hashes have 64 bits.
+The tree's suffixes start at words, and it is cut at the depth of ``window`` words: below that, a node only splits
+suffixes whose windows are equal. A node of that depth with two suffixes or more is a repeat, and the stretches that
+such nodes cover are the maximal ones.
+
+1. Which suffixes may be under such a node: a window's sample is the position of the smallest hash among its
+   ``prefix``-word sequences, so equal windows have equal samples. Windows whose sample occurs once are left out.
+2. Suffixes are partitioned by prefixes of variable length. A prefix has ``prefix`` words at first; one that HOT
+   suffixes of a batch or more begin with grows by GROW words at a time, up to the whole window. Which ones grow is
+   one table for all tasks, so equal windows are in one group, and a group has HOT suffixes of a batch at most,
+   unless they are equal for the whole window; of these a batch sends one.
+3. A group's suffixes are sorted by the words that follow, and the common prefixes of neighbours give the subtree:
+   suffixes stay together down to the depth that the least of these between them has. Where it's ``window``, all
+   but the first suffix in order of documents are later ones.
+
+Groups stream through a task in sorted order with one suffix held over, so memory doesn't follow their size. Words
+stand as hashes: a prefix and a window with 64 bits each, the words between them with 8 bits each of a chained hash,
+so depths between prefix and window are exact but for one in 256; those of ``window`` are exact as 64 bits are.
 """
 
 from __future__ import annotations
@@ -22,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Scratch, only, parts, raw, small
-from .words import grams, mix, word_hashes
+from .words import _P, grams, mix, word_hashes
 
-WINDOW, PREFIX = 20, 8
+WINDOW, PREFIX, GROW, HOT, GROWN, SHOWN = 20, 8, 4, 64, 200_000, 11
 
 
 def samples(h: np.ndarray, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,6 +62,61 @@ def keyed(docs: DataFrame, scratch: Scratch, *more: str) -> tuple[DataFrame, boo
     return d.join(order, match).select(d["doc_id"], "text", *more, "key"), True
 
 
+def chain(h: np.ndarray, start: np.ndarray, prefix: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the suffixes at start: the hashes of their first ``prefix``, ``prefix`` + GROW, .. words and of the whole
+    window, a column each, and a byte for each of the next words after the first ``prefix`` (SHOWN at most)."""
+    steps = [*range(prefix, window, GROW), window]
+    out, hashes, shown = np.zeros(len(start), np.uint64), [], np.zeros((len(start), SHOWN), np.uint8)
+    for j in range(window):
+        out = out * _P + h[start + j]
+        if j + 1 in steps or prefix <= j < prefix + SHOWN:
+            mixed = mix(out)
+            if j + 1 in steps:
+                hashes.append(mixed)
+            if prefix <= j < min(prefix + SHOWN, window - 1):
+                shown[:, j - prefix] = (mixed >> np.uint64(56)).astype(np.uint8)
+    return np.stack(hashes, 1) if hashes else np.zeros((len(start), 0), np.uint64), shown
+
+
+def common(group: np.ndarray, shown: np.ndarray, whole: np.ndarray, prefix: int, window: int) -> np.ndarray:
+    """How many first words each suffix but the first shares with the one before it: 0 in another group, ``window`` at most."""
+    differ = shown[1:] != shown[:-1]
+    same = np.where(differ.any(1), differ.argmax(1), min(SHOWN, window - 1 - prefix))
+    return np.where(group[1:] != group[:-1], 0, np.where(whole[1:] == whole[:-1], window, prefix + same))
+
+
+def nodes(depth: np.ndarray, least: int) -> np.ndarray:
+    """The number of each suffix's topmost node of at least that depth (itself, where it's alone), by common prefixes of neighbours."""
+    return np.cumsum(np.concatenate(([True], depth < least))) - 1
+
+
+def _packed(shown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes as two columns that sort like them, but for the sign."""
+    wide = np.zeros((len(shown), 12), np.uint8)
+    wide[:, :SHOWN] = shown
+    return wide[:, :8].copy().view(">i8").ravel().astype(np.int64), wide[:, 8:].copy().view(">i4").ravel().astype(np.int32)
+
+
+def _unpacked(path: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    return np.concatenate((path.astype(">i8").view(np.uint8).reshape(-1, 8), rest.astype(">i4").view(np.uint8).reshape(-1, 4)), 1)[:, :SHOWN]
+
+
+def hot_prefixes(hs: list[np.ndarray], window: int, prefix: int, hot: int = HOT) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, hashes, counts) of the prefixes that ``hot`` suffixes or more of some texts begin with, longer ones under hot ones only."""
+    found, at = [], [np.arange(max(0, len(h) - window + 1)) for h in hs]
+    for p in range(prefix, window, GROW):
+        got = [grams(h, p)[a] if len(a) else np.zeros(0, np.uint64) for h, a in zip(hs, at, strict=True)]
+        every = np.sort(np.concatenate(got)) if got else np.zeros(0, np.uint64)
+        first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, np.int64)
+        many = np.diff(np.append(first, len(every)))
+        keys, counts = every[first][many >= hot], many[many >= hot]
+        if not len(keys):
+            break
+        found.append((p, keys, counts))
+        at = [a[keys[np.minimum(np.searchsorted(keys, x), len(keys) - 1)] == x] for a, x in zip(at, got, strict=True)]
+    return found
+
+
 def _texts(batch, column: int):
     """Each row's word hashes, for pieces of the batch of bounded size."""
     data, offsets = raw(batch.column(column))
@@ -71,16 +131,17 @@ def _rows(*columns, names):
 
 
 def _repeated_samples(rows: DataFrame, window: int, prefix: int) -> DataFrame:
-    """key, at: sampled positions whose prefix occurs more than once."""
+    """key, at: sampled positions whose prefix occurs more than once. And with a count instead of a null: hot prefixes, at being their length."""
 
     def sample(batches):
+        names = ("h", "key", "at", "kind", "count")
         for batch in batches:
-            keys, hs, ks, ps = np.asarray(batch.column(0)), [], [], []
+            keys, hs, ks, ps, texts = np.asarray(batch.column(0)), [], [], [], []
             for i, h in _texts(batch, 1):
                 at, g = samples(h, window, prefix)
                 if len(at):
                     at = at[np.concatenate(([True], at[1:] != at[:-1]))]
-                    hs.append(g[at]), ks.append(np.full(len(at), keys[i])), ps.append(at)
+                    hs.append(g[at]), ks.append(np.full(len(at), keys[i])), ps.append(at), texts.append(h)
             if not hs:
                 continue
             h, k, p = np.concatenate(hs), np.concatenate(ks), np.concatenate(ps)
@@ -91,7 +152,10 @@ def _repeated_samples(rows: DataFrame, window: int, prefix: int) -> DataFrame:
             kind = np.where(np.repeat(many, many) > 1, 2, 0).astype(np.int8)  # known to be repeated: only passed on
             told = np.flatnonzero(new)[many > 1]  # and one row to tell others
             h_out = np.where(kind == 2, mix(k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + p.astype(np.uint64)), h)
-            yield _rows(np.concatenate((h_out, h[told])).view(np.int64), np.concatenate((k, k[told])), np.concatenate((p, p[told])).astype(np.int32), np.concatenate((kind, np.ones(len(told), np.int8))), names=("h", "key", "at", "kind"))
+            n = len(h) + len(told)
+            yield _rows(np.concatenate((h_out, h[told])).view(np.int64), np.concatenate((k, k[told])), np.concatenate((p, p[told])).astype(np.int32), np.concatenate((kind, np.ones(len(told), np.int8))), pa.nulls(n, pa.int64()), names=names)
+            for length, grown, counts in hot_prefixes(texts, window, prefix):
+                yield _rows(grown.view(np.int64), grown.view(np.int64), np.full(len(grown), length, np.int32), np.full(len(grown), 2, np.int8), counts.astype(np.int64), names=names)
 
     def repeated(batches):
         """Sorted by h: a row is repeated if a neighbour has its prefix."""
@@ -101,7 +165,7 @@ def _repeated_samples(rows: DataFrame, window: int, prefix: int) -> DataFrame:
             done = kind == 2
             keep = ~done
             hh, kk, pp, kd = h[keep], k[keep], p[keep], kind[keep]
-            out_k, out_p = [k[done]], [p[done]]
+            out_k, out_p = [], []
             if len(hh):
                 same = np.concatenate(([before is not None and hh[0] == before], hh[1:] == hh[:-1]))
                 if held is not None and same[0] and held[2] == 0:
@@ -112,11 +176,40 @@ def _repeated_samples(rows: DataFrame, window: int, prefix: int) -> DataFrame:
                 out_k.append(kk[yes]), out_p.append(pp[yes])
                 before = hh[-1]
                 held = None if found[-1] else (kk[-1], pp[-1], kd[-1])
-            yield _rows(np.concatenate(out_k), np.concatenate(out_p).astype(np.int32), names=("key", "at"))
+            passed = batch.filter(pa.array(done))
+            more = sum(map(len, out_k))
+            yield _rows(
+                np.concatenate([np.asarray(passed.column(1)), *out_k]),
+                np.concatenate([np.asarray(passed.column(2)), *out_p]).astype(np.int32),
+                pa.concat_arrays([passed.column(4), pa.nulls(more, pa.int64())]),
+                names=("key", "at", "count"),
+            )
 
-    sent = rows.mapInArrow(sample, "h long, key long, at int, kind byte")
+    sent = rows.mapInArrow(sample, "h long, key long, at int, kind byte, count long")
     parted = sent.repartition("h").sortWithinPartitions("h")
-    return parted.mapInArrow(repeated, "key long, at int")
+    return parted.mapInArrow(repeated, "key long, at int, count long")
+
+
+def _growing(found: DataFrame) -> dict[int, np.ndarray]:
+    """By length the sorted hashes of the prefixes that grow: the most frequent ones, GROWN at most. They only even out groups."""
+    hot = found.where("count IS NOT NULL").groupBy("key", "at").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "key", "at").limit(GROWN).collect()
+    lengths = {r["at"] for r in hot}
+    return {p: np.sort(np.array([r["key"] for r in hot if r["at"] == p], np.int64).view(np.uint64)) for p in lengths}
+
+
+def grouped(hashes: np.ndarray, growing: dict[int, np.ndarray], prefix: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each suffix's group and the length of its prefix; hashes as chain() gives them."""
+    steps = [*range(prefix, window, GROW), window]
+    group, length = hashes[:, 0].copy(), np.full(len(hashes), steps[0])
+    going = np.arange(len(hashes))
+    for i, p in enumerate(steps[:-1]):
+        hot = growing.get(p)
+        if hot is None or not len(going):
+            break
+        x = hashes[going, i]
+        going = going[hot[np.minimum(np.searchsorted(hot, x), len(hot) - 1)] == x]
+        group[going], length[going] = hashes[going, i + 1], steps[i + 1]
+    return mix(group ^ length.astype(np.uint64)), length
 
 
 def _attach(rows: DataFrame, side: DataFrame, column: str) -> tuple[DataFrame, DataFrame | None]:
@@ -127,60 +220,71 @@ def _attach(rows: DataFrame, side: DataFrame, column: str) -> tuple[DataFrame, D
     return rows.join(side.hint("merge"), "key", "left"), None
 
 
-def _later_windows(rows: DataFrame, window: int, prefix: int) -> DataFrame:
+def _later_windows(rows: DataFrame, window: int, prefix: int, growing: dict[int, np.ndarray]) -> DataFrame:
     """key, starts (packed): windows whose words also start earlier. rows: key, text, at."""
+    columns = ("group", "path", "rest", "whole", "key", "start")
 
-    def windows(batches):
+    def suffixes(batches):
         for batch in batches:
-            keys, lists, ws, ks, ss = np.asarray(batch.column(0)), batch.column(2), [], [], []
+            keys, lists, ws, cs, ks, ss = np.asarray(batch.column(0)), batch.column(2), [], [], [], []
             for i, h in _texts(batch, 1):
                 at, _ = samples(h, window, prefix)
                 if not len(at) or not lists[i].is_valid:
                     continue
                 start = np.flatnonzero(np.isin(at, lists[i].values.to_numpy()))
-                ws.append(grams(h, window)[start]), ks.append(np.full(len(start), keys[i])), ss.append(start)
+                hashes, shown = chain(h, start, prefix, window)
+                ws.append(hashes), cs.append(shown), ks.append(np.full(len(start), keys[i])), ss.append(start)
             if not ws:
                 continue
             w, k, s = np.concatenate(ws), np.concatenate(ks), np.concatenate(ss)
-            order = np.lexsort((s, k, w))
-            w, k, s = w[order], k[order], s[order]
-            first = np.concatenate(([True], w[1:] != w[:-1]))
-            late_k, late_s = k[~first], s[~first].astype("<i4")
+            whole = w[:, -1]
+            order = np.lexsort((s, k, whole))
+            first = np.concatenate(([True], whole[order[1:]] != whole[order[:-1]]))
+            late_k, late_s = k[order][~first], s[order][~first].astype("<i4")
+            sent = order[first]
             order = np.argsort(late_k, kind="stable")
             late_k, late_s = late_k[order], late_s[order]
             cut = np.flatnonzero(np.concatenate(([True], late_k[1:] != late_k[:-1]))) if len(late_k) else np.zeros(0, np.int64)
             known = [x.tobytes() for x in np.split(late_s, cut[1:])] if len(cut) else []
             owners = late_k[cut]
-            n, m = int(first.sum()), len(owners)
+            n, m = len(sent), len(owners)
+            group, _ = grouped(w[sent], growing, prefix, window)
+            path, rest = _packed(np.concatenate(cs)[sent])
+            nothing = np.zeros(m, np.int64)
             yield _rows(
-                np.concatenate((w[first], mix(owners.astype(np.uint64)))).view(np.int64),
-                np.concatenate((k[first], owners)),
-                np.concatenate((s[first], np.full(m, -1))).astype(np.int32),
+                np.concatenate((group, mix(owners.astype(np.uint64)))).view(np.int64),
+                np.concatenate((path, nothing)),
+                np.concatenate((rest, nothing)).astype(np.int32),
+                np.concatenate((whole[sent].view(np.int64), nothing)),
+                np.concatenate((k[sent], owners)),
+                np.concatenate((s[sent], np.full(m, -1))).astype(np.int32),
                 pa.array([None] * n + known, pa.binary()),
-                names=("w", "key", "start", "known"),
+                names=(*columns, "known"),
             )
 
     def later(batches):
-        """Sorted by w, key, start: all of a run but its first are later."""
+        """Sorted: of the suffixes under a node of the window's depth all but the first are later."""
         before = None
         for batch in batches:
-            w, k, s = (np.asarray(batch.column(i)) for i in range(3))
-            real = np.flatnonzero(s >= 0)
-            packed = np.flatnonzero(s < 0)
-            wr = w[real]
-            same = np.concatenate(([before is not None and wr[0] == before], wr[1:] == wr[:-1])) if len(real) else np.zeros(0, bool)
+            s = np.asarray(batch.column(5))
+            real, packed = np.flatnonzero(s >= 0), np.flatnonzero(s < 0)
+            g, p, r, w, k, s = (np.asarray(batch.column(i))[real] for i in range(6))
+            hit = np.zeros(len(real), bool)
             if len(real):
-                before = wr[-1]
-            hit = real[same]
+                row = (g[-1:], p[-1:], r[-1:], w[-1:])
+                g, p, r, w = (x if before is None else np.concatenate((y, x)) for x, y in zip((g, p, r, w), before or row, strict=True))
+                node = nodes(common(g, _unpacked(p, r), w, prefix, window), window)
+                again = np.concatenate(([False], node[1:] == node[:-1]))
+                hit, before = again[len(again) - len(real) :], row
             kk, st = k[hit], s[hit].astype("<i4")
             order = np.lexsort((st, kk))
             kk, st = kk[order], st[order]
             cut = np.flatnonzero(np.concatenate(([True], kk[1:] != kk[:-1]))) if len(kk) else np.zeros(0, np.int64)
             made = [x.tobytes() for x in np.split(st, cut[1:])] if len(cut) else []
-            yield _rows(np.concatenate((k[packed], kk[cut])), pa.array(batch.column(3).take(pa.array(packed)).to_pylist() + made, pa.binary()), names=("key", "starts"))
+            yield _rows(np.concatenate((np.asarray(batch.column(4))[packed], kk[cut])), pa.array(batch.column(6).take(pa.array(packed)).to_pylist() + made, pa.binary()), names=("key", "starts"))
 
-    sent = rows.mapInArrow(windows, "w long, key long, start int, known binary")
-    return sent.repartition("w").sortWithinPartitions("w", "key", "start").mapInArrow(later, "key long, starts binary")
+    sent = rows.mapInArrow(suffixes, "group long, path long, rest int, whole long, key long, start int, known binary")
+    return sent.repartition("group").sortWithinPartitions(*columns).mapInArrow(later, "key long, starts binary")
 
 
 def covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:
@@ -206,10 +310,11 @@ def later_starts(docs: DataFrame, scratch: Scratch, window: int = WINDOW, prefix
         one = scratch.write(one.groupBy("key").agg(F.first("text").alias("text")), "one")
     found = scratch.write(_repeated_samples(one, window, prefix), "samples")
     scratch.release()
-    lists = scratch.write(found.groupBy("key").agg(F.array_sort(F.collect_set("at")).alias("at")), "lists")
+    growing = _growing(found)
+    lists = scratch.write(found.where("count IS NULL").groupBy("key").agg(F.array_sort(F.collect_set("at")).alias("at")), "lists")
     scratch.drop("samples")
     some, _ = _attach(one, lists, "at")
-    late = _later_windows(some.select("key", "text", "at"), window, prefix)
+    late = _later_windows(some.select("key", "text", "at"), window, prefix, growing)
     flat = scratch.write(late, "late")
     scratch.release()
     packed = scratch.write(flat.groupBy("key").agg(F.collect_list("starts").alias("starts")), "packed")

@@ -160,6 +160,54 @@ def test_substring_dedup_keeps_one_copy_of_repeated_rows(spark):
         assert removed == [(0, 0), (20, 0), (21, 30), (22, 30)]
 
 
+def test_subtrees_are_the_brute_force_suffix_trees():
+    """Groups by prefixes of several lengths; in each, common prefixes and nodes are those of the words themselves."""
+    from plenum.llm import substring_dedup as sd
+
+    r, window, prefix = random.Random(8), 20, 8
+    base = [f"b{i}" for i in range(40)]
+    texts = []
+    for i in range(60):
+        w = base[: r.randrange(8, 40)] + [f"t{r.randrange(3)}" for _ in range(30)]
+        w[r.randrange(len(w))] = "odd"
+        texts.append(w + base[r.randrange(30) :] + [f"u{i}_{j}" for j in range(r.randrange(25))])
+    hs = []
+    for w in texts:
+        data = " ".join(w).encode()
+        hs.append(word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]), False)[0])
+    growing = {p: np.sort(k) for p, k, _ in sd.hot_prefixes(hs, window, prefix, hot=12)}
+    rows = []
+    for d, (w, h) in enumerate(zip(texts, hs, strict=True)):
+        start = np.arange(max(0, len(w) - window + 1))
+        got, shown = sd.chain(h, start, prefix, window)
+        group, length = sd.grouped(got, growing, prefix, window)
+        path, rest = sd._packed(shown)
+        for i in start.tolist():
+            rows.append((int(group[i]), int(path[i]), int(rest[i]), int(got[i, -1]), d, i, int(length[i])))
+    rows.sort()
+    assert {x[6] for x in rows} == {8, 12, 16, 20}
+    words = [tuple(texts[x[4]][x[5] : x[5] + window]) for x in rows]
+    # a group holds exactly the suffixes with its prefix
+    prefixes = {}
+    for x, w in zip(rows, words, strict=True):
+        prefixes.setdefault(x[0], set()).add((x[6], w[: x[6]]))
+    assert all(len(v) == 1 for v in prefixes.values()) and len({next(iter(v)) for v in prefixes.values()}) == len(prefixes)
+    g, p, q, whole = (np.array([x[i] for x in rows], np.uint64 if i in (0, 3) else np.int64) for i in range(4))
+    depth = sd.common(g, sd._unpacked(p, q.astype(np.int32)), whole, prefix, window)
+    want = []
+    for a, b in zip(range(len(rows) - 1), range(1, len(rows)), strict=True):
+        n = 0
+        while n < window and words[a][n] == words[b][n]:
+            n += 1
+        want.append(n if rows[a][0] == rows[b][0] else 0)
+    assert depth.tolist() == want
+    for least in (8, 11, 15, 20):  # nodes of a depth in a group: suffixes that share so many words
+        node, brute = sd.nodes(depth, least), {}
+        for i, (x, w) in enumerate(zip(rows, words, strict=True)):
+            brute.setdefault((x[0], w[:least]), []).append(i)
+        assert sorted(np.flatnonzero(node == k).tolist() for k in range(node[-1] + 1)) == sorted(brute.values())
+
+
 def test_repeats_are_maximal_spans(spark):
     passage = " ".join(f"p{i}" for i in range(25))
     frame = spark.createDataFrame([(1, f"a {passage} b", "", "", 0), (2, f"c d {passage} e", "", "", 0)], DOCS)
