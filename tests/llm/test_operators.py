@@ -338,7 +338,78 @@ def test_media_round_trip_and_broken_files(spark):
     good = media.write(bytes(128))
     frame = spark.createDataFrame([(1, bytearray(good)), (2, None), (3, bytearray(b"junk junk junk")), (4, bytearray(good[:-9])), (5, bytearray())], "id long, media binary")
     about = {r["id"]: r["about"] for r in media.media_columns(frame).collect()}
-    assert about[1]["codec"] == "raw " and about[1]["keyframes"][0]["length"] == 64 and about[2] is None and all(about[i]["error"] for i in (3, 4, 5))
+    assert about[1]["tracks"][0]["codec"] == "raw " and about[1]["tracks"][0]["keyframes"][0]["length"] == 64 and about[2] is None
+    assert all(about[i]["error"] and about[i]["tracks"] is None for i in (3, 4, 5))
+
+
+def u32(*numbers):
+    return b"".join((x & 0xFFFFFFFF).to_bytes(4, "big") for x in numbers)
+
+
+def track_of(number, handler, codec, *tables):
+    full, box = media.full, media.box
+    head = full(b"tkhd", 0, 7, u32(0, 0, number), bytes(68))
+    info = box(b"stbl", full(b"stsd", 0, 0, u32(1), box(codec, bytes(70))), *tables)
+    return box(b"trak", head, box(b"mdia", full(b"mdhd", 0, 0, u32(0, 0, 10, 50), bytes(4)), full(b"hdlr", 0, 0, u32(0), handler, bytes(12)), box(b"minf", info)))
+
+
+def test_media_of_several_tracks_compact_sizes_and_fragments():
+    full, box = media.full, media.box
+    small = full(b"stz2", 0, 0, bytes(3), b"\x04", u32(3), b"\x52\x30")  # 5, 2, 3 bytes in halves of bytes
+    audio = track_of(1, b"soun", b"mp4a", small, full(b"stts", 0, 0, u32(1, 3, 2)), full(b"stsc", 0, 0, u32(1, 1, 3, 1)), full(b"stco", 0, 0, u32(1, 16)))
+    video = track_of(2, b"vide", b"avc1")
+    extend = box(b"mvex", full(b"trex", 0, 0, u32(2, 1, 4, 6, 0x10000)))
+
+    def moof(offset):
+        first = full(b"trun", 0, 0x5, u32(3, offset, 0))  # its first sample is a keyframe, sizes and the rest by default
+        second = full(b"trun", 0, 0x300, u32(2, 7, 4, 9, 5))  # lengths and sizes of its own, right behind
+        return box(b"moof", full(b"mfhd", 0, 0, u32(1)), box(b"traf", full(b"tfhd", 0, 0x20000, u32(2)), first, second))
+
+    data = box(b"free", bytes(24)) + box(b"moov", audio, video, extend)
+    begin = len(data)
+    data += moof(len(moof(0)) + 8) + box(b"mdat", bytes(27))
+    a, v = media.tracks(data)
+    assert (a.codec, a.sizes.tolist(), a.offsets.tolist(), a.keys.tolist(), a.duration) == ("mp4a", [5, 2, 3], [16, 21, 23], [0, 1, 2], 50)
+    at = begin + len(moof(0)) + 8
+    assert (v.codec, v.sizes.tolist(), v.offsets.tolist(), v.lengths.tolist()) == ("avc1", [6, 6, 6, 4, 5], [at, at + 6, at + 12, at + 18, at + 22], [4, 4, 4, 7, 9])
+    assert v.keys.tolist() == [0] and v.ranges(v.keys) == [(at, 6)]
+    with pytest.raises(media.MediaError):
+        media.tracks(data[:-3])
+
+
+def test_broken_media_is_an_error_and_nothing_else(spark):
+    full, box = media.full, media.box
+    many = u32(0xFFFFFFFF)
+    broken = [
+        box(b"moov", box(b"trak", box(b"mdia", box(b"mdhd")))),
+        box(b"moov", track_of(1, b"vide", b"avc1", box(b"stsz", bytes(4)))),
+        box(b"moov", track_of(1, b"vide", b"avc1", full(b"stsz", 0, 0, u32(1), many))),
+        box(b"moov", track_of(1, b"vide", b"avc1", full(b"stts", 0, 0, u32(1), many, u32(1)))),
+        box(b"moov", track_of(1, b"vide", b"avc1", full(b"stco", 0, 0, u32(0)), full(b"stsc", 0, 0, u32(2, 1, 1, 1), many, u32(1, 1)), full(b"stsz", 0, 0, u32(0, 1, 1)))),
+        box(b"moov") + box(b"moof", box(b"traf", full(b"tfhd", 0, 0, u32(9)), full(b"trun", 0, 0, many))),
+        box(b"moov", track_of(1, b"vide", b"avc1")) + box(b"moof", box(b"traf", full(b"tfhd", 0, 0x10, u32(1, 1)), full(b"trun", 0, 0, many))),
+    ]
+    deep = b""
+    for _ in range(60):
+        deep = box(b"moov", deep)
+    broken.append(deep)
+    for data in broken:
+        with pytest.raises(media.MediaError):
+            media.tracks(data)
+    r = random.Random(7)
+    good = media.write(r.randbytes(64 * 70))
+    for k in range(3000):
+        data = bytearray(good[: r.randrange(len(good))] if k % 3 == 0 else good[:900])
+        for _ in range(r.randrange(4)):
+            if data:
+                data[r.randrange(len(data))] = r.choice((0, 1, 255, r.randrange(256)))
+        try:
+            media.tracks(bytes(data))
+        except media.MediaError:
+            pass
+    frame = spark.createDataFrame([(i, bytearray(x)) for i, x in enumerate(broken)], "id long, media binary").withColumn("about", F.lit("clash"))
+    assert all(r["about"]["error"] for r in media.media_columns(frame).collect())
+    assert media.media_columns(frame.limit(0)).count() == 0
 
 
 def test_mix_meets_targets(spark, docs):
