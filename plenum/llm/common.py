@@ -20,9 +20,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local master may leave it unset: it gets a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="plenum-")
         atexit.register(shutil.rmtree, folder[7:], ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -30,10 +32,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one call in the shared folder. They replace lineage, so a lost executor costs one stage at most."""
+    """Tables of one call in the shared folder. They replace lineage, so a lost executor costs one stage at most.
+
+    A call's result reads from them, so they stay until clean() is called after its rows are written.
+    """
+
+    made: set[str] = set()
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/plenum/{name}-{uuid.uuid4().hex}"
+        Scratch.made.add(self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -45,8 +53,7 @@ class Scratch:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        delete(self.spark, self.path(name))
 
     def release(self) -> None:
         """Lets Spark delete the shuffle files of plans that nothing refers to any more."""
@@ -56,10 +63,28 @@ class Scratch:
         self.spark._jvm.System.gc()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clean(spark: SparkSession, *keep: str) -> None:
+    """Deletes the scratch tables of all calls but those whose folders are to be kept."""
+    for root in Scratch.made - set(keep):
+        delete(spark, root)
+        Scratch.made.discard(root)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """df with columns c0, c1, .. instead of its own names, so that names of an operator's own never clash, and these."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), names
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns; all others, whatever they are called, stay out of the operator's way."""
     return df.select(*[F.col(f"`{n}`") for n in names])

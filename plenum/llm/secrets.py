@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, join_checked
+from .common import Scratch, join_checked, numbered
 
 
 @dataclass(frozen=True)
@@ -119,21 +119,23 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[sec
     """docs with each finding replaced by a mark, and n_chars counted again where docs has it. All other columns stay.
 
     Overlapping findings become one mark. The scan sees each distinct text once; only texts with findings are
-    joined back, by their content address.
+    joined back, by their content address. Null texts stay null, repeated rows stay repeated, whatever the doc_id;
+    an empty table gives an empty one. Columns may have any names.
     """
-    names, blob, spans = docs.columns, "__blob", "__spans"
-    some = update(docs, None, rules).where(F.size("spans") > 0).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
-    rows = docs.withColumn(blob, address(F.col("`text`"))).join(some, blob, "left")
-    text = F.col("`text`")
+    rows, own = numbered(docs)
+    text = F.col(own[docs.columns.index("text")])
+    some = update(rows.select(text.alias("text")), None, rules).where(F.size("spans") > 0).select("blob", "spans")
+    rows = rows.withColumn("blob", address(text)).join(some, "blob", "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
         grown = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], grown).otherwise(acc["out"]).alias("out"))
 
-    clean = F.aggregate(F.col(spans), start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    rows = rows.withColumn("__clean", F.when(F.col(spans).isNull(), text).otherwise(clean))
-    return rows.select(*[F.col("__clean").alias(n) if n == "text" else F.length("__clean").cast(docs.schema[n].dataType).alias(n) if n == "n_chars" else F.col(f"`{n}`") for n in names])
+    clean = F.aggregate(F.col("spans"), start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    rows = rows.withColumn("clean", F.when(F.col("spans").isNull(), text).otherwise(clean))
+    made = {"text": F.col("clean")} | ({"n_chars": F.length("clean").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return rows.select(*[made.get(n, F.col(c)).alias(n) for n, c in zip(docs.columns, own, strict=True)])
 
 
 def sql(rules: tuple[Rule, ...] = RULES) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, only
+from .common import Scratch, join_checked, only
 from .tokens import Vocabulary
 
 END, BLOCK, WIDTH = 50256, 1 << 22, 2
@@ -46,6 +46,8 @@ class Files:
 def write_files(docs: DataFrame, folder: str, vocabulary: Vocabulary = Vocabulary(), end: int = END, width: int = WIDTH) -> DataFrame:
     """Writes one flat file per task of docs and returns file, n_tokens (separators included), and what its documents are in order.
 
+    A vocabulary with ids that ``width`` bytes can't hold is an error.
+
     A task writes under a name of its own attempt, so a run that is repeated or races another never leaves a
     mixed file; only names in the returned table count.
     """
@@ -59,6 +61,8 @@ def write_files(docs: DataFrame, folder: str, vocabulary: Vocabulary = Vocabular
         store.create_dir(root, recursive=True)
         name = f"tokens-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.bin"
         encoder, nth, total = vocabulary.encoder(), 0, 0
+        if max(encoder.top, end) >= 1 << 8 * width:
+            raise ValueError(f"ids up to {max(encoder.top, end)} don't fit into {width} bytes")
         last = np.array([end], f"<u{width}").tobytes()
         with store.open_output_stream(f"{root}/{name}") as out:
             for batch in batches:
@@ -104,10 +108,10 @@ def scan(ranges: DataFrame, files: Files) -> DataFrame:
     return ranges.mapInArrow(run, "file string, block long, nth long, tokens long, tail long")
 
 
-def stitch(found: DataFrame) -> DataFrame:
+def stitch(found: DataFrame, scratch: Scratch) -> DataFrame:
     """file, nth, n_tokens: each document's number in its file and its ids, those in earlier blocks included.
 
-    The prefix scan runs over one row a block. A block's carry is what follows the last separator before it: the
+    The prefix scan runs over one row a block, and only that side of the last join may be broadcast. A block's carry is what follows the last separator before it: the
     tails of all blocks since the last one that has a separator. Ids after a file's last separator are no document.
     """
     heads = found.where("nth = -1").select("file", "block", F.col("tokens").alias("seps"), "tail")
@@ -116,8 +120,8 @@ def stitch(found: DataFrame) -> DataFrame:
     # blocks of one group stand between two blocks with separators; the first of them carries what the block before it left
     tails = W.partitionBy("file").orderBy("block")
     heads = heads.withColumn("left", F.lag("tail").over(tails)).withColumn("carry", F.coalesce(F.sum("left").over(W.partitionBy("file", "group").orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)), F.lit(0)))
-    carry = heads.select("file", "block", "base", "carry")
-    rows = found.where("nth >= 0").join(carry, ["file", "block"])
+    carry = scratch.write(heads.select("file", "block", "base", "carry"), "carry")
+    rows = join_checked(found.where("nth >= 0"), carry, ["file", "block"], "inner")
     return rows.select("file", (F.col("base") + F.col("nth")).alias("nth"), (F.col("tokens") + F.when(F.col("nth") == 0, F.col("carry")).otherwise(0)).alias("n_tokens"))
 
 
@@ -127,7 +131,8 @@ def count_files(spark: SparkSession, folder: str, files: DataFrame, width: int =
     An empty file has no documents; two separators in a row enclose a document of 0 tokens.
     """
     ranges = blocks(files, block)
-    return stitch(scan(ranges.repartition("file", "block"), Files(folder, width, end)))
+    scratch = Scratch(spark, "scan")
+    return stitch(scratch.write(scan(ranges.repartition("file", "block"), Files(folder, width, end)), "found"), scratch)
 
 
 def token_counts(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), block: int = BLOCK) -> DataFrame:

@@ -47,6 +47,7 @@ class Encoder:
         with open(vocabulary.ranks or path("byte_bpe_50k.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bpe = tiktoken.Encoding(os.path.basename(vocabulary.ranks or "byte_bpe_50k"), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.top = max(ranks.values())
         self.most, self.first, self.later, self.special = vocabulary.cache, {}, {}, vocabulary.special
 
     def _pack(self, text: str) -> bytes:

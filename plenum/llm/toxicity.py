@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import crc_fold, only
 from .compression_quality import logistic
 
-TOXIC_ROWS, CLEAN_ROWS, BYTES, TERMS, ACCEPT = 1500, 3000, 12_000_000, 512, 0.3
+TOXIC_ROWS, CLEAN_ROWS, BYTES, LONGEST, TERMS, ACCEPT = 1500, 3000, 12_000_000, 187_500, 512, 0.3
 
 #: Letters of other scripts that look like Latin ones, and signs written for letters.
 LOOKS = dict(zip("аеорсухіјѕԁһӏпкмтвгɡɑοανρτυικηωßıłøđ", "aeopcyxijsdhlnkmtbrgaoavptuiknwsilod", strict=True))
@@ -170,9 +170,9 @@ def learn(rows: list[tuple[str, int]], phrases: tuple[str, ...] = (), terms: int
     return Lexicon(weights, lexicon.exceptions, tuple(w))
 
 
-def fit_tables(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, most_bytes: int = BYTES, **more) -> Lexicon:
+def fit_tables(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, most_bytes: int = BYTES, longest: int = LONGEST, **more) -> Lexicon:
     """Learns from labelled rows outside the held-out fold: at most toxic_rows and clean_rows of them, chosen by a
-    hash of the id, and of those as many whole texts as fit into most_bytes."""
+    hash of the id, and of those as many whole texts of ``longest`` bytes at most as fit into most_bytes."""
     known = only(labels, "doc_id", label).where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (crc_fold(F.col("doc_id")) != 2)).withColumnRenamed(label, "y")
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -180,12 +180,13 @@ def fit_tables(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic_r
     ranked = known.withColumn("r", F.xxhash64(F.lit(23), "doc_id"))
     picked = [ranked.where(F.col("y") == k).orderBy("r", "doc_id").limit(n).select("doc_id", "y") for k, n in ((1, toxic_rows), (0, clean_rows))]
     chosen = F.broadcast(picked[0].unionByName(picked[1]).distinct())  # at most toxic_rows + clean_rows ids
-    rows = only(docs, "doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes // 64)).join(chosen, "doc_id").select("doc_id", "y", "text")
+    rows = only(docs, "doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= longest)).join(chosen, "doc_id").select("doc_id", "y", "text")
     rows = sorted(rows.orderBy(F.xxhash64(F.lit(23), "doc_id"), "y", "text").limit(toxic_rows + clean_rows).collect(), key=lambda r: (r["doc_id"], r["y"], r["text"]))
     used, texts = {0: 0, 1: 0}, []
     for r in rows:
-        if used[r["y"]] + len(r["text"]) <= most_bytes // 2:
-            used[r["y"]] += len(r["text"])
+        n = len(r["text"].encode())
+        if used[r["y"]] + n <= most_bytes // 2:  # half of the bytes for each label
+            used[r["y"]] += n
             texts.append((r["text"], r["y"]))
     return learn(texts, share=counts.get(1, 0) / sum(counts.values()), **more)
 

@@ -576,6 +576,139 @@ def test_pipeline_keeps_and_packs_whole_documents(spark):
     assert len(good & kept) >= 0.9 * len(good)  # 60 labelled rows a class are few to learn from
 
 
+def test_stages_on_odd_tables(spark):
+    """Nulls, empty texts, repeats and an empty table go through every stage; columns of any name stay as they are."""
+    import corpus_pipeline
+
+    clash = {n: F.lit(7) for n in ("c0", "spans", "blob", "clean", "copies", "copy", "whole", "tie", "cut", "p", "root", "__gone", "__row", "odds")}
+    frame = odd(spark).withColumns(clash)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, SF)
+        assert out.columns == frame.columns and out.dtypes == frame.dtypes
+        rows = out.collect()
+        assert all(r["spans"] == 7 and r["fp"] == "clash" for r in rows) and {r["text"] for r in rows} <= {r[1] for r in ODD}
+        assert stage(spark, frame.limit(0), SF).count() == 0
+    stages = dict(corpus_pipeline.STAGES)
+    assert stages["secret scans"](spark, frame, SF).count() == len(ODD)
+    for frame in (frame, frame.limit(0)):
+        packed = stages["best-fit packing"](spark, frame, SF)
+        assert sum(r["length"] for r in packed.collect()) == sum(len(ids_of(r["text"] or "", special=True)) + 1 for r in frame.collect())
+
+
+def brute_mix(rows):
+    """(doc_id, copies) of each row of (doc_id, source, text), one after another in order of rank."""
+    sizes = {}
+    for _, source, text in rows:
+        sizes[source] = sizes.get(source, 0) + len(WORD.findall(text or ""))
+    names = sorted(sizes, key=lambda x: (x is None, x or ""))
+    weight, goal = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}, {}
+    left, free = 1.5 * sum(sizes.values()), set(names)
+    while free:
+        level = left / sum(weight[n] for n in free)
+        over = {n for n in free if 2 * sizes[n] <= weight[n] * level}
+        goal |= {n: 2.0 * sizes[n] if n in over else weight[n] * level for n in over or free}
+        left -= sum(goal[n] for n in over)
+        free -= over or set(free)
+    out = []
+    for n in names:
+        own = [(d, t, len(WORD.findall(t or ""))) for d, s, t in rows if s == n]
+        whole = int(goal[n] // sizes[n]) if sizes[n] else 0
+        p = goal[n] / sizes[n] - whole if sizes[n] else 0
+        lack, ranked = goal[n] - whole * sizes[n], []
+        for d, t, k in own:
+            key = str(d) if d is not None else hashlib.md5((t or "").encode()).hexdigest()
+            u = (int(hashlib.md5(f"mix-1:{key}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            ranked.append((u / (1 - u), k, d))
+        for odds, k, d in sorted(ranked, key=lambda x: x[:2]):
+            more = k > 0 and p > 0 and lack - k / 2 > 0
+            lack -= k
+            out.append((d, whole + more))
+    return out
+
+
+def test_pipeline_is_its_stages_one_by_one(spark, docs, labels):
+    """run() against plain Python on the rows that the classifier, plainly applied, accepts."""
+    import corpus_pipeline
+    import zstandard
+
+    model = compression_quality.fit_tables(docs, labels)
+    good, bad = (zstandard.ZstdCompressor(level=model.level, dict_data=zstandard.ZstdCompressionDict(x), write_content_size=False, write_checksum=False, write_dict_id=False) for x in (model.good, model.bad))
+
+    def score(text):
+        t = (text or "").encode()
+        g, b = (sum(len(c.compress(t[i : i + model.block])) for i in range(0, len(t), model.block)) for c in (good, bad))
+        return 1 / (1 + np.exp(-np.clip(np.dot(model.weights, compression_quality.features(len(t), g, b)), -30, 30)))
+
+    scores = {r["doc_id"]: r["score"] for r in compression_quality.quality(docs, labels).select("doc_id", "score").collect()}
+    rows = [(r["doc_id"], r["source"], r["text"]) for r in docs.select("doc_id", "source", "text").collect()]
+    assert len(scores) == len(rows) and all(scores[d] == pytest.approx(score(t), abs=1e-9) for d, _, t in rows)
+    rows = [r for r in rows if score(r[2]) >= 0.7]
+    one = {d for d, _, c in brute_components([(d, t) for d, _, t in rows]) if d == c}
+    rows = [r for r in rows if r[0] in one]
+    patterns = [(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12)]
+    patterns += [(rule.pattern, 0, 1) for rule in secrets.RULES[1:]]
+
+    def redacted(text):
+        spans = sorted((m.start(), m.end()) for p, g, least in patterns for m in re.finditer(p, text or "") if len(m[g]) >= least)
+        out, at = "", 0
+        for a, b in spans:
+            if a >= at:
+                out += text[at:a] + "[secret]"
+            at = max(at, b)
+        return None if text is None else out + text[at:]
+
+    rows = [(d, s, redacted(t)) for d, s, t in rows]
+    text = {d: t for d, _, t in rows}
+    want = []
+    for d, copies in brute_mix(rows):
+        ids = np.array([*ids_of(text[d] or "", special=True), 2], "<u4").tobytes()
+        want += [(d, k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(packing.cut(len(ids) // 4))] * copies
+    got = corpus_pipeline.run(spark, SF).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_toxicity_is_plain_search(spark, docs, labels):
+    lexicon = toxicity.fit_tables(docs, labels)
+    lexicon = toxicity.Lexicon(lexicon.weights | {" en": 0.5}, (*lexicon.exceptions, " en "), lexicon.calibration)
+
+    def brute(text):
+        t, found = toxicity.fold(text or ""), {}
+        for term, weight in lexicon.weights.items():
+            for i in range(len(t)):
+                if t.startswith(term, i) and weight > found.get(i, (0, 0))[1]:
+                    found[i] = i + len(term), weight
+        spared = [(i, i + len(p)) for p in lexicon.exceptions for i in range(len(t)) if t.startswith(p, i)]
+        total = sum(w for a, (b, w) in found.items() if not any(x <= a and b - 1 <= y for x, y in spared))
+        x = np.dot(lexicon.calibration, (1.0, np.log1p(100 * total / (t.count(" ") + 20)), float(total > 0)))
+        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+    some = docs.where("length(text) < 3000")  # the search is slow
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(some, lexicon).select("doc_id", "score").collect()}
+    rows = dict(texts(some))
+    assert len(got) == len(rows) > 100 and all(got[d] == pytest.approx(brute(t), abs=1e-9) for d, t in rows.items())
+
+
+def test_token_counts_and_media_of_the_whole_table(spark, docs):
+    rows = dict(texts(docs))
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs).collect()} == {d: len(ids_of(t or "")) for d, t in rows.items()}
+    got = media.text_media(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = (rows[r["doc_id"]] or "").encode()
+        payload = text + bytes(-len(text) % 64 or (64 if not text else 0))
+        stored = media.write(payload)
+        n = len(payload) // 64
+        keys = [(stored.index(b"mdat") + 4 + 64 * i, 64) for i in range(0, n, 32)]
+        assert stored.endswith(payload) and (r["n_bytes"], r["payload_bytes"], r["media_bytes"]) == (len(text), len(payload), len(stored))
+        assert (r["payload_sha256"], r["tail_crc32"], r["media_sha256"]) == (hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), hashlib.sha256(stored).hexdigest())
+        assert f"seconds={n / 25:.3f};samples={n};keyframes={len(keys)};first={keys[0]}" in r["feature"]
+
+
+def test_a_vocabulary_that_files_cannot_hold_is_an_error(spark, docs, tmp_path):
+    with pytest.raises(Exception, match="don't fit into 1 bytes"):
+        token_counts.write_files(docs.limit(1), str(tmp_path), width=1).collect()
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_agrees_with_sql(spark, name):
     import duckdb
