@@ -1,6 +1,7 @@
 """Small cases of the library's operators, files and streams."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,8 +29,89 @@ def test_tree_votes_follow_the_first_record(spark):
     got = {r["path"]: (r["winner"], r["votes"], r["voters"]) for r in winners.collect()}
     assert got == {"a": ("1", 2, 4), "b.x": ('"q"', 2, 3), "b.y": ("null", 3, 3), "l": ("[1,2]", 2, 4), "ligands[L1].id": ('"L1"', 2, 2), "ligands[L1].role": ('"q"', 1, 2), "ligands[L2].id": ('"L2"', 1, 1), "ligands[L2].role": ('"s"', 1, 1)}
     assert votes.agg(F.sum("n")).first()[0] == sum(v for _, _, v in got.values())
-    best = spark.createDataFrame([("e", "a", "2"), ("e", "b.x", '"q"'), ("e", "b.y", '"z"')], "e string, path string, value string")
-    assert [tuple(r) for r in tree.differences(best, winners, "e").collect()] == [("e", "a", "2", "1", 2)]
+
+
+def plain_vote(values, path, keyed, soft):
+    """The majority of some values, straight from the rules; what is hidden or has no votes is None."""
+    if path.split(".")[-1] in soft:
+        return None
+    first = values[0]
+    field = next((f for part, f in keyed.items() if part in path), None)
+    if isinstance(first, list) and first and isinstance(first[0], dict) and field:
+        items = [x for v in values if isinstance(v, list) for x in v if isinstance(x, dict) and x.get(field)]
+        return [plain_vote([x for x in items if x[field] == k], f"{path}[{k}]", keyed, soft) for k in sorted({x[field] for x in items})]
+    if isinstance(first, dict):
+        owners = [v for v in values if isinstance(v, dict)]
+        return {k: plain_vote([v.get(k) for v in owners], f"{path}.{k}" if path else k, keyed, soft) for k in sorted({k for v in owners for k in v})}
+    texts = [json.dumps(v, sort_keys=True) for v in values]
+    return json.loads(max(texts, key=lambda t: (texts.count(t), -texts.index(t))))
+
+
+def plain_score(run, want):
+    if isinstance(want, dict):
+        return sum(plain_score(run.get(k), w) for k, w in want.items()) if isinstance(run, dict) else 0
+    if isinstance(want, list):
+        return sum(x in want for x in run) if isinstance(run, list) else 0
+    return int(want is not None and run == want)
+
+
+def some_value(r, depth):
+    kind = r.random()
+    if depth and kind < 0.3:
+        return {k: some_value(r, depth - 1) for k in r.sample(["a", "b", "note", "ligands"], r.randrange(4))}
+    if depth and kind < 0.5:
+        return [{"id": r.choice(["x", "y", ""]), "b": some_value(r, depth - 1)} if r.random() < 0.8 else r.choice([1, "s"]) for _ in range(r.randrange(3))]
+    return r.choice([None, "p", "q", 1, 2, [1, 2], [2]])
+
+
+def test_best_record_is_that_of_the_rules(spark):
+    r = random.Random(1)
+    entities = {}
+    for e in range(60):
+        shapes = [{"a": some_value(r, 3), "ligands": some_value(r, 3), "b": {"x": some_value(r, 2)}} for _ in range(3)]
+        entities[f"e{e}"] = [r.choice(shapes) if r.random() < 0.8 else {"a": some_value(r, 2)} for _ in range(r.randrange(1, 6))]
+    rows = [(e, i, json.dumps(v)) for e, runs in entities.items() for i, v in enumerate(runs)]
+    runs = spark.createDataFrame(rows, "e string, i long, t string").select("e", "i", F.parse_json("t").alias("v"))
+    keyed, soft = {"ligands": "id"}, ("note",)
+    major = tree.majority_record(runs, "e", "i", keyed=keyed, soft=soft)
+    best = {x["e"]: (x["i"], x["score"]) for x in tree.best_record(runs, major, "e", "i").collect()}
+    got = {x["e"]: json.loads(x["t"]) for x in major.select("e", F.to_json("majority").alias("t")).collect()}
+    for e, own in entities.items():
+        want = plain_vote(own, "", keyed, soft)
+        assert got[e] == want, e
+        scores = [plain_score(v, want) for v in own]
+        assert best[e] == (scores.index(max(scores)), max(scores)), e
+
+
+def test_differences_of_the_best_record(spark):
+    runs = records(
+        spark,
+        {"a": {"x": 1, "m": "old", "note": "n"}, "ligands": [{"id": "L", "role": "p"}, {"id": "L", "role": "q"}], "b": "text", "l": [1]},
+        {"a": {"x": 2, "m": "new"}, "ligands": [{"id": "L", "role": "q"}, {"id": "M", "role": "r"}], "b": "text", "l": [2]},
+        {"a": {"x": 2, "m": "new", "y": 5}, "ligands": [{"id": "L", "role": "q"}], "l": [2]},
+        {"a": {"x": 2, "m": "new", "y": 5}, "b": "other", "l": [2]},
+        {"a": {"x": 2, "m": "new", "y": 5}, "b": "other", "l": [2]},
+    )
+    keyed = {"ligands": "id"}
+    votes, _ = tree.majority(runs, "e", "i", keyed=keyed, soft=("note",))
+    major = tree.majority_record(runs, "e", "i", keyed=keyed, soft=("note",))
+    found = tree.differences(runs.where("i = 0"), major, votes, "e", keyed=keyed, soft=("note",), excluded=("a.m",))
+    # the list l and item M, which the record lacks, say nothing; b is a tie that the first value wins; of two items L the last counts
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [("a.x", "1", "2", 4), ("a.y", "null", "5", 3)]
+    found = tree.differences(runs.where("i = 3"), major, votes, "e", keyed=keyed, excluded=("a.m",))
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [("b", '"other"', '"text"', 2)]
+
+
+def test_walks_have_no_depth_of_their_own(spark):
+    deep, flat = {"k": 1}, {"k": 2}
+    for _ in range(90):
+        deep = {"d": deep}
+    df = records(spark, deep, deep, flat)
+    _, winners = tree.majority(df, "e", "i")
+    got = {r["path"]: r["winner"] for r in winners.collect()}
+    assert got[".".join(["d"] * 90 + ["k"])] == "1" and got["k"] == "null"
+    assert tree.nodes(df, ["i"]).where("i = 0").count() == 91
+    assert tree.nodes(df.limit(0), ["i"]).count() == 0 and tree.majority(df.limit(0), "e", "i")[1].count() == 0
 
 
 def test_tree_walk_names_every_node(spark):
