@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plenum.functions.text import NULL_LIKE, hamming, has_prefix
+from plenum.plans.tables import cut
 
 BLANKS = " \t\n\r\v\f"
 
@@ -40,6 +41,22 @@ LEADERS = ("gnas2_human", "gnai1_human", "gnaq_human", "gna13_human")
 NO_ALPHAS = ("receptor", "antibody", "nanobody", "fab", "scfv", "ubiquitin", "beta", "gamma", "gbg", "gbb", "subunit b", "subunit c", "subunit g")
 TAIL, ENOUGH, SEGMENTS = 4, 0.5, 6
 
+#: Kinds of features that are membrane segments, of an entity and of an accession, what makes a domain
+#: one, kinds that count for the choice among fused proteins, and kinds of residues that aren't seen.
+MEMBRANE = ("TRANSMEMBRANE", "MEMBRANE_REGION", "MEMBRANE_TOPOLOGY", "MEMBRANE_SEGMENT", "MEMBRANE_DOMAIN", "MEMBRANE")
+MEMBRANE_OF_NAME = ("TRANSMEMBRANE", "MEMBRANE", "TOPOLOGICAL_DOMAIN", "TRANSMEMBRANE_REGION", "MEMBRANE_SEGMENT", "MEMBRANE_DOMAIN")
+DOMAIN, FUSED, UNSEEN = "TOPOLOGICAL_DOMAIN", ("TRANSMEMBRANE", "TRANSMEMBRANE_REGION"), ("UNOBSERVED_RESIDUE_XYZ", "UNMODELED")
+PARTNERS = ("gnai", "gnas", "gnaq", "gnao")
+
+_PLACES = "feature_positions:array<struct<beg_seq_id:long,end_seq_id:long>>"
+_FEATURES = f"""struct<data:struct<entry:struct<polymer_entities:array<struct<
+    rcsb_polymer_entity_feature:array<struct<type:string,{_PLACES}>>,
+    rcsb_polymer_entity_align:array<struct<reference_database_name:string,reference_database_accession:string,
+        aligned_regions:array<struct<ref_beg_seq_id:long,entity_beg_seq_id:long,length:long>>>>,
+    uniprots:array<struct<rcsb_id:string,rcsb_uniprot_feature:array<struct<type:string,description:string,{_PLACES}>>>>,
+    polymer_entity_instances:array<struct<rcsb_polymer_entity_instance_container_identifiers:struct<auth_asym_id:string>,
+        rcsb_polymer_instance_feature:array<struct<type:string,{_PLACES}>>>>>>>>>"""
+
 
 def _schema(mark: str) -> str:
     poly = f"""array<struct<rcsb_polymer_entity:struct<pdbx_description:string>,
@@ -52,6 +69,7 @@ def _schema(mark: str) -> str:
         nonpolymer_entity_instances:array<struct<rcsb_nonpolymer_entity_instance_container_identifiers:struct<auth_asym_id:string>>>>>"""
     return f"""struct<data:struct<entry:struct<exptl:array<struct<method:string>>,em_3d_reconstruction:array<struct<resolution:double>>,
         refine:array<struct<ls_d_res_high:double>>,rcsb_accession_info:struct<initial_release_date:string>,
+        assemblies:array<struct<rcsb_struct_symmetry:array<struct<oligomeric_state:string,stoichiometry:array<string>,kind:string,type:string>>>>,
         polymer_entities:{poly},nonpolymer_entities:{comp}>>>"""
 
 
@@ -84,7 +102,9 @@ def _listed(items: Column) -> Column:
 
 
 def entries(docs: DataFrame, mark: str) -> DataFrame:
-    """entity, method, resolution, release_date, polymers, chains, components, chain_ids and codes of entry documents.
+    """entity, method, resolution, release_date, polymers, chains, labels, symmetry, components, chain_ids and codes of entry documents.
+
+    labels: chains with another name of their own; of a chain that comes twice the last. symmetry: the first record there is.
 
     docs: entity, v (VARIANT). mark is what names of fields that an earlier step added begin with. What is null,
     absent or of another type at any depth counts as absent. Chains and components that come twice stand twice;
@@ -107,7 +127,7 @@ def entries(docs: DataFrame, mark: str) -> DataFrame:
             F.filter(F.transform(names, lambda u: u[slug]), lambda s: s != "").alias("slugs"),
             F.filter(F.transform(names, lambda u: F.struct(u["rcsb_id"].alias("accession"), u[slug].alias("slug"))), lambda u: (u["accession"] != "") & (u["slug"] != "")).alias("names"),
             F.filter(
-                F.transform(_some(p["polymer_entity_instances"]["rcsb_polymer_entity_instance_container_identifiers"]), lambda i: F.struct(i["auth_asym_id"].alias("chain"), F.coalesce(i["asym_id"], i["auth_asym_id"]).alias("label"))),
+                F.transform(_some(p["polymer_entity_instances"]["rcsb_polymer_entity_instance_container_identifiers"]), lambda i: F.struct(i["auth_asym_id"].alias("chain"), F.coalesce(F.when(i["asym_id"] != "", i["asym_id"]), i["auth_asym_id"]).alias("label"), (i["asym_id"] != "").alias("own"))),
                 lambda i: i["chain"] != "",
             ).alias("instances"),
         )
@@ -122,12 +142,15 @@ def entries(docs: DataFrame, mark: str) -> DataFrame:
         F.when(F.get("e.exptl", F.lit(0))["method"] != "", F.get("e.exptl", F.lit(0))["method"]).alias("method"),
         F.coalesce(F.get("e.em_3d_reconstruction", F.lit(0))["resolution"], F.get("e.refine", F.lit(0))["ls_d_res_high"]).alias("resolution"),
         F.when(raw_date != "", F.coalesce(F.date_format(F.try_to_date(raw_date, "yyyy-MM-dd"), "yyyy-MM-dd"), F.substring(raw_date, 1, 10))).alias("release_date"),
+        F.get(F.flatten(F.transform(_some(F.col("e.assemblies")), lambda a: _some(a["rcsb_struct_symmetry"]))), F.lit(0)).alias("symmetry"),
         F.transform(_some(F.col("e.polymer_entities")), polymer).alias("polymers"),
         F.filter(F.transform(_some(F.col("e.nonpolymer_entities")), component), lambda c: c["code"] != "").alias("components"),
         F.filter(F.flatten(F.transform(_some(F.col("e.nonpolymer_entities")), lambda n: _some(n["nonpolymer_entity_instances"]["rcsb_nonpolymer_entity_instance_container_identifiers"]["auth_asym_id"]))), lambda c: c != "").alias("other_chains"),
     )
     chains = F.flatten(F.transform("polymers", lambda p: F.transform(p["instances"], lambda i: F.struct(i["chain"].alias("chain"), i["label"].alias("label"), p["description"].alias("description"), p["sequence"].alias("sequence")))))
-    out = out.withColumn("chains", chains)
+    named = F.filter(F.flatten(F.transform("polymers", lambda p: p["instances"])), lambda i: i["own"])
+    labels = F.transform(F.array_distinct(F.transform(named, lambda i: i["chain"])), lambda c: F.struct(c.alias("key"), _last(named, "chain", c)["label"].alias("value")))
+    out = out.withColumns({"chains": chains, "labels": F.map_from_entries(labels)})
     return out.withColumns({"chain_ids": F.array_distinct(F.concat(F.transform("chains", lambda c: c["chain"]), "other_chains")), "codes": F.array_sort(F.array_distinct(F.transform("components", lambda c: c["code"])))}).drop("other_chains")
 
 
@@ -238,6 +261,121 @@ def aligned(segment: Column, regions: Column) -> Column:
     return F.filter(F.transform(regions, part), lambda p: p["b"] <= p["e"])
 
 
+def features(docs: DataFrame) -> DataFrame:
+    """entity, chain, segments, gaps (b, e) and proteins (name, n) of captured feature documents (entity, v VARIANT).
+
+    Segments are the entity's own membrane features; where it has none, those of its accessions, put into its
+    numbering by their alignments. gaps are residues of the chain that aren't seen. n counts an accession's segments.
+    A chain that comes twice stands twice; null or absent parts count as none.
+    """
+
+    def places(items, kinds, keep=None):
+        some = F.filter(_some(items), lambda f: F.upper(f["type"]).isin(*kinds) & (keep(f) if keep else F.lit(True)))
+        return F.flatten(F.transform(some, lambda f: F.transform(_some(f["feature_positions"]), lambda p: F.struct(p["beg_seq_id"].alias("b"), p["end_seq_id"].alias("e")))))
+
+    def is_segment(f):
+        return (F.upper(f["type"]) != DOMAIN) | F.coalesce(F.upper(f["description"]).contains("MEMBRANE"), F.lit(False))
+
+    p = F.col("p")
+    aligns = F.filter(_some(p["rcsb_polymer_entity_align"]), lambda a: a["reference_database_name"] == "UniProt")
+
+    def mapped(u):
+        regions = F.flatten(F.transform(F.filter(aligns, lambda a: F.coalesce(a["reference_database_accession"], F.lit("")) == F.coalesce(u["rcsb_id"], F.lit(""))), lambda a: _some(a["aligned_regions"])))
+        return F.flatten(F.transform(places(u["rcsb_uniprot_feature"], MEMBRANE_OF_NAME, is_segment), lambda s: aligned(s, regions)))
+
+    own = places(p["rcsb_polymer_entity_feature"], MEMBRANE)
+    names = _some(p["uniprots"])
+    proteins = F.transform(names, lambda u: F.struct(u["rcsb_id"].alias("name"), F.size(places(u["rcsb_uniprot_feature"], FUSED)).cast("long").alias("n")))
+    rows = docs.select("entity", F.explode(F.from_json(F.to_json("v"), _FEATURES)["data"]["entry"]["polymer_entities"]).alias("p")).where("p IS NOT NULL")
+    rows = rows.select("entity", "p", F.when(F.size(own) > 0, own).otherwise(F.flatten(F.transform(names, mapped))).alias("segments"), proteins.alias("proteins"))
+    rows = rows.select("entity", "segments", "proteins", F.explode(_some(F.col("p.polymer_entity_instances"))).alias("i"))
+    gaps = F.flatten(F.transform(F.filter(_some(F.col("i.rcsb_polymer_instance_feature")), lambda f: f["type"].isin(*UNSEEN)), lambda f: F.transform(_some(f["feature_positions"]), lambda g: F.struct(g["beg_seq_id"].alias("b"), g["end_seq_id"].alias("e")))))
+    rows = rows.select("entity", F.col("i.rcsb_polymer_entity_instance_container_identifiers.auth_asym_id").alias("chain"), "segments", gaps.alias("gaps"), "proteins")
+    return rows.where("chain <> ''")
+
+
+def suspicious(members: Column) -> Column:
+    """The alert about members without any segment, or null; members: chain, slug, status."""
+    odd = F.filter(members, lambda m: m["status"] == "UNKNOWN")
+    names = F.array_join(F.transform(odd, lambda m: F.concat(F.lit("Chain "), m["chain"], F.lit(" ("), m["slug"], F.lit(")"))), ", ")
+    return F.when(F.size(odd) > 0, F.struct(F.lit("SUSPICIOUS_7TM").alias("type"), F.concat(F.lit("[SUSPICIOUS_7TM] at 'oligomer_analysis': "), names, F.lit(": NO transmembrane helices detected.")).alias("message")))
+
+
+def _told(alert: Column, own: Column, known: Column) -> Column:
+    """The message of a roster alert."""
+    kind, chains = alert["type"], _listed(alert["chains"])
+    roster_, hits = _listed(F.array_sort(known)), _listed(F.array_sort(F.array_intersect(own, known)))
+    text = (
+        F.when(kind == "HALLUCINATION", F.concat(F.lit("AI selected chain(s) "), chains, F.lit(" which are NOT in the GPCR roster (roster: "), roster_, F.lit("). The AI may have picked a G-protein, nanobody, or other non-GPCR chain.")))
+        .when(kind == "MISSED_PROTOMER", F.concat(F.lit("GPCR roster has chains "), roster_, F.lit(" but AI only reported "), hits, F.lit(". Missed: "), chains, F.lit(".")))
+        .otherwise(F.concat(F.lit("AI reported chain(s) "), chains, F.lit(" — matches GPCR roster "), roster_, F.lit(".")))
+    )
+    return F.struct(kind.alias("type"), F.concat(F.lit("["), kind, F.lit("] at 'oligomer_analysis': "), text).alias("message"))
+
+
+def oligomer(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """rows (entity, v and entries' columns) with ``oligo``: classification, members, suggestion, alerts, override, labels and symmetry.
+
+    found: features. The roster is refined by the proteins of fused chains, each member's segments are judged, and
+    the rest follows from that. A chain that stands twice in found has the last in order of its segments. Without
+    found, or for chains that it lacks, nothing is known of segments.
+    """
+    kind = "array<struct<chain:string,segments:array<struct<b:bigint,e:bigint>>,gaps:array<struct<b:bigint,e:bigint>>,proteins:array<struct<name:string,n:bigint>>>>"
+    if found is None:
+        rows = rows.withColumn("seen", F.array().cast(kind))
+    else:
+        per = found.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("chain", "segments", "gaps", "proteins"))).cast(kind).alias("seen"))
+        rows = rows.join(per, "entity", "left").withColumn("seen", F.coalesce("seen", F.array().cast(kind)))
+    said = F.from_json(F.to_json("v"), "struct<receptor_info:struct<uniprot_entry_name:string,chain_id:string>,ligands:array<struct<chain_id:string>>>")
+    every = F.flatten(F.transform("polymers", lambda p: p["names"]))
+    slugs = F.map_from_entries(F.transform(F.array_distinct(F.transform(every, lambda u: u["accession"])), lambda a: F.struct(a.alias("key"), _last(every, "accession", a)["slug"].alias("value"))))
+    chains = F.array_distinct(F.transform("seen", lambda s: s["chain"]))
+    proteins = F.map_from_entries(F.transform(chains, lambda c: F.struct(c.alias("key"), _last(F.col("seen"), "chain", c)["proteins"].alias("value"))))
+    rows = cut(rows.withColumns({"said": said, "roster": roster(F.col("polymers")), "slugs_": slugs, "proteins_": proteins}))
+    rows = cut(rows.withColumn("roster", refined(F.col("roster"), F.col("proteins_"), F.col("slugs_"))))
+
+    def judged(m):
+        s = _last(F.col("seen"), "chain", m["chain"])
+        done = completeness(s["segments"], s["gaps"])
+        return F.struct(m["chain"].alias("chain"), m["slug"].alias("slug"), m["length"].alias("length"), done["status"].alias("status"), done["resolved"].alias("resolved"), done["total"].alias("total"))
+
+    rows = cut(rows.withColumn("roster", F.transform("roster", judged)))
+    partners = F.try_variant_get("v", "$.signaling_partners", "map<string,variant>")
+    named = F.lower(F.to_json(F.try_variant_get("v", "$.signaling_partners", "variant")))
+    bound = F.coalesce(F.map_contains_key(partners, "g_protein") | F.exists(F.array(*map(F.lit, PARTNERS)), lambda t: F.contains(named, t)), F.lit(False))
+    chain = F.col("said.receptor_info.chain_id")
+    rows = rows.withColumn("pick", primary(F.col("roster"), chain, bound, F.transform("said.ligands", lambda g: g["chain_id"])))
+    rows = cut(rows.withColumns({"kind_": classification(F.col("roster")), "alerts_": roster_alerts(chain, F.col("roster"))}))
+    rows = cut(rows.withColumn("over", override(chain, F.col("said.receptor_info.uniprot_entry_name"), F.col("pick.chain"), F.col("roster"), F.col("alerts_"))))
+    own, known = _chains(chain), F.transform("roster", lambda r: r["chain"])
+    told = F.transform("alerts_", lambda a: _told(a, own, known))
+    over, pick = F.col("over"), F.col("pick")
+    note = F.concat(F.lit("[CHAIN_ID_OVERRIDDEN] at 'oligomer_analysis': receptor_info corrected: chain_id '"), over["original_chain_id"], F.lit("' -> '"), over["corrected_chain_id"], F.lit("', uniprot_entry_name '"), F.coalesce(over["original_uniprot"], F.lit("None")), F.lit("' -> '"), F.coalesce(over["corrected_uniprot"], F.lit("None")), F.lit("'. Reason: "), over["trigger"])
+    corrected = F.when(over["applied"], F.struct(F.lit("CHAIN_ID_OVERRIDDEN").alias("type"), note.alias("message")))
+    members = F.array_sort(F.transform("roster", lambda m: F.struct(m["chain"].alias("chain_id"), m["slug"].alias("slug"), m["status"].alias("7tm_status"), m["resolved"].alias("resolved_tms"), m["total"].alias("total_tms"))))
+    reason = F.when(pick["rank"].isNull(), "No GPCR chains found").otherwise(F.concat(F.lit("Rank "), pick["rank"].cast("string")))
+    oligo = F.struct(
+        F.col("kind_").alias("classification"),
+        members.alias("all_gpcr_chains"),
+        F.struct(pick["chain"].alias("chain_id"), reason.alias("reason"), pick["rank"].alias("rank_used")).alias("primary_protomer_suggestion"),
+        F.col("symmetry").alias("assembly_cross_check"),
+        F.array_compact(F.concat(told, F.array(suspicious(F.col("roster"))), F.array(corrected))).alias("alerts"),
+        over.alias("chain_id_override"),
+        F.col("labels").alias("label_asym_id_map"),
+    )
+    return cut(rows.withColumn("oligo", oligo)).drop("said", "roster", "slugs_", "proteins_", "pick", "kind_", "alerts_", "over", "seen")
+
+
+def with_oligomer(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """rows whose v has oligomer_analysis, and the chain and name of the receptor as the override leaves them. v must be an object."""
+    from plenum.functions.records import patched, written
+
+    rows, over = oligomer(rows, found), F.col("oligo.chain_id_override")
+    v = written(F.col("v"), {"oligomer_analysis": F.to_variant_object("oligo")})
+    made = {"chain_id": F.when(over["applied"], over["corrected_chain_id"].cast("variant")), "uniprot_entry_name": F.when(over["applied"], over["corrected_uniprot"].cast("variant"))}
+    return rows.withColumn("v", F.when(over["applied"], patched(v, "receptor_info", made)).otherwise(v)).drop("oligo")
+
+
 def completeness(segments: Column, gaps: Column, least: float = ENOUGH, complete: int = SEGMENTS) -> Column:
     """resolved, total and status of segments (b, e) that gaps (b, e) leave seen by at least ``least``."""
 
