@@ -377,7 +377,7 @@ def _verify(sets: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
     connected by that; the others meet the whole group, block by block. So a member has as many copies as there are
     blocks of others: none in a group around its smallest set.
     """
-    size = groups.groupBy("root").agg(F.count("*").alias("m"))
+    size = scratch.write(groups.groupBy("root").agg(F.count("*").alias("m")), "size")
     member = scratch.write(join_checked(groups.withColumnRenamed("node", "fp"), size, "root", "inner"), "members")
     zero = F.lit(0).cast("long")
     cells = member.where(F.col("m") <= BLOCK).select("fp", "root", zero.alias("i"), zero.alias("j"))
@@ -424,7 +424,9 @@ def join(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "ngrams")
     rows, _ = keyed(docs, scratch)
     named = _rooted(rows, scratch)
-    lowest = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("lowest"))
+    named = scratch.write(named, "named")
+    # as a table, so that Spark can split a large component's rows in the join
+    lowest = scratch.write(named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("lowest")), "lowest")
     out = named.join(lowest.hint("merge"), "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"))
 
@@ -490,6 +492,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     named = scratch.write(_rooted(rows.select("doc_id", "text", "key"), scratch).where("n > 0").select("doc_id", "key", "root"), "named")
     # keys are in order of doc_id, null first
     first = named.groupBy("root").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.col("key"))).alias("some"), F.min("key").alias("any")).select("root", F.coalesce("some", "any").alias("first"))
+    first = scratch.write(first, "first")
     gone = scratch.write(named.join(first.hint("merge"), "root").where("key <> first").select("key").distinct(), "gone")
     left = join_checked(rows, gone, "key", "left_anti")
     if odd:
