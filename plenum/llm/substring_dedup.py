@@ -15,8 +15,9 @@ such nodes cover are the maximal ones.
    but the first suffix in order of documents are later ones.
 
 Groups stream through a task in sorted order with one suffix held over, so memory doesn't follow their size. Words
-stand as hashes: a prefix and a window with 64 bits each, the words between them with 8 bits each of a chained hash,
-so depths between prefix and window are exact but for one in 256; those of ``window`` are exact as 64 bits are.
+stand as hashes: a window has 64 bits, a group 32, the first SHOWN words after ``prefix`` 8 bits each of a chained
+hash. So nodes of the window's depth are exact as 64 bits are. Depths above are as good as 8 bits are, end with the
+words shown, and are too large at the border of two groups with one hash.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, Scratch, only, parts, raw, small
 from .words import _P, grams, mix, word_hashes
 
-WINDOW, PREFIX, GROW, HOT, GROWN, SHOWN = 20, 8, 4, 64, 200_000, 11
+WINDOW, PREFIX, GROW, HOT, GROWN, SHOWN = 20, 8, 4, 64, 200_000, 8
 
 
 def samples(h: np.ndarray, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,15 +91,13 @@ def nodes(depth: np.ndarray, least: int) -> np.ndarray:
     return np.cumsum(np.concatenate(([True], depth < least))) - 1
 
 
-def _packed(shown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes as two columns that sort like them, but for the sign."""
-    wide = np.zeros((len(shown), 12), np.uint8)
-    wide[:, :SHOWN] = shown
-    return wide[:, :8].copy().view(">i8").ravel().astype(np.int64), wide[:, 8:].copy().view(">i4").ravel().astype(np.int32)
+def _packed(shown: np.ndarray) -> np.ndarray:
+    """The bytes as one column that sorts like them, but for the sign."""
+    return np.ascontiguousarray(shown).view(">i8").ravel().astype(np.int64)
 
 
-def _unpacked(path: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    return np.concatenate((path.astype(">i8").view(np.uint8).reshape(-1, 8), rest.astype(">i4").view(np.uint8).reshape(-1, 4)), 1)[:, :SHOWN]
+def _unpacked(path: np.ndarray) -> np.ndarray:
+    return path.astype(">i8").view(np.uint8).reshape(-1, SHOWN)
 
 
 def hot_prefixes(hs: list[np.ndarray], window: int, prefix: int, hot: int = HOT) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -209,7 +208,7 @@ def grouped(hashes: np.ndarray, growing: dict[int, np.ndarray], prefix: int, win
         x = hashes[going, i]
         going = going[hot[np.minimum(np.searchsorted(hot, x), len(hot) - 1)] == x]
         group[going], length[going] = hashes[going, i + 1], steps[i + 1]
-    return mix(group ^ length.astype(np.uint64)), length
+    return (mix(group ^ length.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32), length
 
 
 def _attach(rows: DataFrame, side: DataFrame, column: str) -> tuple[DataFrame, DataFrame | None]:
@@ -222,7 +221,7 @@ def _attach(rows: DataFrame, side: DataFrame, column: str) -> tuple[DataFrame, D
 
 def _later_windows(rows: DataFrame, window: int, prefix: int, growing: dict[int, np.ndarray]) -> DataFrame:
     """key, starts (packed): windows whose words also start earlier. rows: key, text, at."""
-    columns = ("group", "path", "rest", "whole", "key", "start")
+    columns = ("group", "path", "whole", "key", "start")
 
     def suffixes(batches):
         for batch in batches:
@@ -249,12 +248,11 @@ def _later_windows(rows: DataFrame, window: int, prefix: int, growing: dict[int,
             owners = late_k[cut]
             n, m = len(sent), len(owners)
             group, _ = grouped(w[sent], growing, prefix, window)
-            path, rest = _packed(np.concatenate(cs)[sent])
+            path = _packed(np.concatenate(cs)[sent])
             nothing = np.zeros(m, np.int64)
             yield _rows(
-                np.concatenate((group, mix(owners.astype(np.uint64)))).view(np.int64),
+                np.concatenate((group, (mix(owners.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32))).view(np.int32),
                 np.concatenate((path, nothing)),
-                np.concatenate((rest, nothing)).astype(np.int32),
                 np.concatenate((whole[sent].view(np.int64), nothing)),
                 np.concatenate((k[sent], owners)),
                 np.concatenate((s[sent], np.full(m, -1))).astype(np.int32),
@@ -266,14 +264,14 @@ def _later_windows(rows: DataFrame, window: int, prefix: int, growing: dict[int,
         """Sorted: of the suffixes under a node of the window's depth all but the first are later."""
         before = None
         for batch in batches:
-            s = np.asarray(batch.column(5))
+            s = np.asarray(batch.column(4))
             real, packed = np.flatnonzero(s >= 0), np.flatnonzero(s < 0)
-            g, p, r, w, k, s = (np.asarray(batch.column(i))[real] for i in range(6))
+            g, p, w, k, s = (np.asarray(batch.column(i))[real] for i in range(5))
             hit = np.zeros(len(real), bool)
             if len(real):
-                row = (g[-1:], p[-1:], r[-1:], w[-1:])
-                g, p, r, w = (x if before is None else np.concatenate((y, x)) for x, y in zip((g, p, r, w), before or row, strict=True))
-                node = nodes(common(g, _unpacked(p, r), w, prefix, window), window)
+                row = (g[-1:], p[-1:], w[-1:])
+                g, p, w = (x if before is None else np.concatenate((y, x)) for x, y in zip((g, p, w), before or row, strict=True))
+                node = nodes(common(g, _unpacked(p), w, prefix, window), window)
                 again = np.concatenate(([False], node[1:] == node[:-1]))
                 hit, before = again[len(again) - len(real) :], row
             kk, st = k[hit], s[hit].astype("<i4")
@@ -281,9 +279,9 @@ def _later_windows(rows: DataFrame, window: int, prefix: int, growing: dict[int,
             kk, st = kk[order], st[order]
             cut = np.flatnonzero(np.concatenate(([True], kk[1:] != kk[:-1]))) if len(kk) else np.zeros(0, np.int64)
             made = [x.tobytes() for x in np.split(st, cut[1:])] if len(cut) else []
-            yield _rows(np.concatenate((np.asarray(batch.column(4))[packed], kk[cut])), pa.array(batch.column(6).take(pa.array(packed)).to_pylist() + made, pa.binary()), names=("key", "starts"))
+            yield _rows(np.concatenate((np.asarray(batch.column(3))[packed], kk[cut])), pa.array(batch.column(5).take(pa.array(packed)).to_pylist() + made, pa.binary()), names=("key", "starts"))
 
-    sent = rows.mapInArrow(suffixes, "group long, path long, rest int, whole long, key long, start int, known binary")
+    sent = rows.mapInArrow(suffixes, "group int, path long, whole long, key long, start int, known binary")
     return sent.repartition("group").sortWithinPartitions(*columns).mapInArrow(later, "key long, starts binary")
 
 

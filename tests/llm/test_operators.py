@@ -181,25 +181,26 @@ def test_subtrees_are_the_brute_force_suffix_trees():
         start = np.arange(max(0, len(w) - window + 1))
         got, shown = sd.chain(h, start, prefix, window)
         group, length = sd.grouped(got, growing, prefix, window)
-        path, rest = sd._packed(shown)
+        path = sd._packed(shown)
         for i in start.tolist():
-            rows.append((int(group[i]), int(path[i]), int(rest[i]), int(got[i, -1]), d, i, int(length[i])))
+            rows.append((int(group[i]), int(path[i]), int(got[i, -1]), d, i, int(length[i])))
     rows.sort()
-    assert {x[6] for x in rows} == {8, 12, 16, 20}
-    words = [tuple(texts[x[4]][x[5] : x[5] + window]) for x in rows]
+    assert {x[5] for x in rows} == {8, 12, 16, 20}
+    words = [tuple(texts[x[3]][x[4] : x[4] + window]) for x in rows]
     # a group holds exactly the suffixes with its prefix
     prefixes = {}
     for x, w in zip(rows, words, strict=True):
-        prefixes.setdefault(x[0], set()).add((x[6], w[: x[6]]))
+        prefixes.setdefault(x[0], set()).add((x[5], w[: x[5]]))
     assert all(len(v) == 1 for v in prefixes.values()) and len({next(iter(v)) for v in prefixes.values()}) == len(prefixes)
-    g, p, q, whole = (np.array([x[i] for x in rows], np.uint64 if i in (0, 3) else np.int64) for i in range(4))
-    depth = sd.common(g, sd._unpacked(p, q.astype(np.int32)), whole, prefix, window)
+    g, p, whole = (np.array([x[i] for x in rows], np.uint64 if i != 1 else np.int64) for i in range(3))
+    depth = sd.common(g, sd._unpacked(p), whole, prefix, window)
     want = []
     for a, b in zip(range(len(rows) - 1), range(1, len(rows)), strict=True):
         n = 0
         while n < window and words[a][n] == words[b][n]:
             n += 1
-        want.append(n if rows[a][0] == rows[b][0] else 0)
+        shown = n if n == window else min(n, prefix + sd.SHOWN)
+        want.append(shown if rows[a][0] == rows[b][0] else 0)
     assert depth.tolist() == want
     for least in (8, 11, 15, 20):  # nodes of a depth in a group: suffixes that share so many words
         node, brute = sd.nodes(depth, least), {}
