@@ -58,7 +58,7 @@ def item_fields(v: Column, name: str, found: Column, made) -> Column:
 
 
 def standard_name(name: Column) -> Column:
-    """A helper protein's usual name, where its spelling is a known one."""
+    """A helper protein's usual name, where its spelling is a known one. Both patterns are fixed values."""
     known = F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])
     number = F.regexp_extract(name, r"(?i)^nb\s*-?\s*(\d+)$", 1)
     fused = name.rlike(r"(?i)\bbril\b") | (F.lower(name) == "cytochrome b562 ril")

@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 
 #: Texts that stand for no value.
 NULL_LIKE = ("none", "n/a", "null", "", "-")
+BLANKS = " \t\n\r\v\f"
+
+
+def stripped(c: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.trim(c, F.lit(BLANKS))
 
 
 def is_empty(c: Column) -> Column:
     """Null, or a text that stands for no value."""
-    return c.isNull() | F.lower(F.trim(c)).isin(*NULL_LIKE)
+    return c.isNull() | F.lower(stripped(c)).isin(*NULL_LIKE)
 
 
-def sanitized(c: Column) -> Column:
-    """Text without outer blanks; null is empty."""
-    return F.coalesce(F.trim(c.cast("string")), F.lit(""))
+def sanitized(c: Column, kind: str = "string") -> Column:
+    """Text without outer white space; null is empty. kind: the column's type; of a boolean the text is True or False."""
+    return F.coalesce(F.initcap(c.cast("string")) if kind == "boolean" else stripped(c.cast("string")), F.lit(""))
 
 
 def capitalized(c: Column) -> Column:
@@ -37,8 +43,8 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def clean_lines(c: Column) -> Column:
-    """Lines without outer blanks and without empty ones, joined by a blank."""
-    lines = F.transform(F.split(c, "\n"), lambda x: F.trim(x))
+    """Lines without outer white space and without empty ones, joined by a blank."""
+    lines = F.transform(F.split(c, "\n"), lambda x: stripped(x))
     return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 

@@ -8,7 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plenum.functions.records import written
+
 from .reference import waterfall
+from .structures import BUFFERS
 
 
 def _given(c: Column) -> Column:
@@ -64,3 +67,77 @@ def sequence_of(fasta: Column) -> Column:
     lines = F.split(F.trim(fasta), r"\r?\n")
     text = F.array_join(F.transform(F.slice(lines, 2, 1 << 30), lambda x: F.trim(x)), "")
     return F.when(text != "", text)
+
+
+def component_kind(weight: Column, limit: float = 900.0) -> Column:
+    """What a component's weight says: a small molecule, a peptide, or unknown where it is no number."""
+    w = weight.try_cast("double")
+    return F.when(w.isNull(), "unknown").when(w < limit, "small-molecule").otherwise("peptide")
+
+
+def page_facts(html: Column, url: Column) -> Column:
+    """title, link and host of a captured page; empty where there is none."""
+    return F.struct(F.regexp_extract(html, "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract(html, 'href="([^"]*)"', 1).alias("link"), F.regexp_extract(url, "^https?://([^/]+)", 1).alias("host"))
+
+
+def named(entries: DataFrame, names: DataFrame, mark: str) -> DataFrame:
+    """Entry documents (entity, v) in which accessions have the names that a captured table (accession, name) gives them.
+
+    Every distinct accession is looked up once, and documents meet their names by entity. Accessions without a name
+    stay as they are; of several names the smallest counts. Documents without entities stay whole.
+    """
+    pattern = r'"rcsb_id":"([^"]+)"'
+    asked = entries.select("entity", F.explode(F.array_distinct(F.regexp_extract_all(F.to_json("v"), F.lit(pattern), F.lit(1)))).alias("accession"))
+    one = names.where("accession IS NOT NULL AND name <> ''").groupBy("accession").agg(F.min("name").alias("name"))
+    per = asked.join(one, "accession").groupBy("entity").agg(F.map_from_entries(F.collect_list(F.struct("accession", "name"))).alias("names"))
+    field, text = f"{mark}_entry_name_slug", F.to_json("v")
+
+    def polymer(p):
+        units = F.try_variant_get(p, "$.uniprots", "array<variant>")
+
+        def unit(u):
+            name = F.try_element_at(F.col("names"), F.try_variant_get(u, "$.rcsb_id", "string"))
+            return F.when(name.isNotNull(), written(u, {field: name.cast("variant")})).otherwise(u)
+
+        return F.when(units.isNotNull(), written(p, {"uniprots": F.to_variant_object(F.transform(units, unit))})).otherwise(p)
+
+    entry = F.try_variant_get("v", "$.data.entry", "variant")
+    polymers = F.try_variant_get("v", "$.data.entry.polymer_entities", "array<variant>")
+    data = F.try_variant_get("v", "$.data", "variant")
+    whole = written(F.col("v"), {"data": written(data, {"entry": written(entry, {"polymer_entities": F.to_variant_object(F.transform(polymers, polymer))})})})
+    rows = entries.join(per, "entity", "left")
+    return rows.withColumn("v", F.when(F.col("names").isNotNull() & polymers.isNotNull() & text.contains('"uniprots"'), whole).otherwise(F.col("v"))).drop("names")
+
+
+def inventory(entity: Column, polymers: Column) -> Column:
+    """The text that lists an entry's chains by description, in order of first mention. Fixed wording; polymers have description and listed."""
+    kinds = F.array_distinct(F.transform(polymers, lambda p: F.when(p["description"] != "", p["description"]).otherwise("Unknown polymer")))
+    kinds = F.filter(kinds, lambda d: F.exists(polymers, lambda p: (F.when(p["description"] != "", p["description"]).otherwise("Unknown polymer") == d) & (F.size(p["listed"]) > 0)))
+
+    def line(d):
+        own = F.flatten(F.transform(F.filter(polymers, lambda p: F.when(p["description"] != "", p["description"]).otherwise("Unknown polymer") == d), lambda p: p["listed"]))
+        return F.concat(F.lit("- Chain(s) "), F.array_join(F.array_sort(own), ", "), F.lit(": "), d)
+
+    n = F.size(F.array_distinct(F.flatten(F.transform(polymers, lambda p: p["listed"])))).cast("string")
+    none = F.concat(F.lit("### CHAIN INVENTORY REMINDER\nThis structure ("), entity, F.lit(") contains 0 polymer chains."))
+    head = F.concat(F.lit("### CHAIN INVENTORY REMINDER\nThis structure ("), entity, F.lit(") contains EXACTLY "), n, F.lit(" unique polymer chain(s):"))
+    return F.when(F.size(polymers) == 0, none).otherwise(F.array_join(F.concat(F.array(head), F.transform(kinds, line)), "\n"))
+
+
+def simplified(rows: DataFrame) -> DataFrame:
+    """rows (entries' columns) with ``simple``: what a request says of an entry, without buffers and ions. What is absent is Unknown, or null."""
+    polymers = F.transform("polymers", lambda p: F.struct(p["listed"].alias("chain_ids"), F.when(p["description"] != "", p["description"]).otherwise("Unknown").alias("description"), F.transform(p["names"], lambda u: u["accession"]).alias("uniprot_accessions"), p["slugs"].alias("entry_names")))
+    others = F.transform(F.filter("components", lambda c: ~c["code"].isin(*BUFFERS)), lambda c: F.struct(c["code"].alias("chem_comp_id"), F.when(c["name"] != "", c["name"]).otherwise(c["code"]).alias("name"), c["cid"].alias("pubchem_cid")))
+    details = F.struct(F.col("entity").alias("pdb_id"), F.coalesce("method", F.lit("Unknown")).alias("method"), "resolution", "release_date")
+    return rows.withColumn("simple", F.struct(details.alias("structure_details"), polymers.alias("polymer_components"), others.alias("non_polymer_components")))
+
+
+def prompts(rows: DataFrame, template: str) -> DataFrame:
+    """entity, prompt from rows (entries' columns and siblings): template, inventory, a warning about siblings, metadata. Fixed wording."""
+    some = F.coalesce(F.size("siblings") > 0, F.lit(False))
+    warning = F.concat(
+        F.lit("### IMPORTANT: SIBLING STRUCTURES WARNING\nThis paper also reports structures for the following PDB IDs: "), F.array_join("siblings", ", "), F.lit(".\nEnsure you are extracting data ONLY for "), F.col("entity"),
+        F.lit(". Do NOT mix up ligands or active states with the sibling structures reported in the same paper.\n\n"),
+    )
+    parts = [F.lit(template + "\n\n"), inventory(F.col("entity"), F.col("polymers")), F.lit("\n\n"), F.when(some, warning).otherwise(""), F.lit("--- PDB METADATA FOR "), F.col("entity"), F.lit(" ---\n"), F.to_json("simple"), F.lit("\n\n--- FULL PAPER ---\n")]
+    return simplified(rows).select("entity", F.concat(*parts).alias("prompt"))

@@ -51,6 +51,12 @@ def differences(df: DataFrame, keys: list[str], fields: list[str], order: str) -
     return found.select(*keys, each.alias("x")).select(*keys, "x.*").where("majority_value IS NOT NULL AND NOT (best_value <=> majority_value)")
 
 
+def first_seen(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
+    """keys, seen: the distinct values of a group in the order in which they first come. One row per value meets."""
+    first = df.groupBy(*keys, F.col(value).alias("value")).agg(F.min(order).alias("first"))
+    return first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "value"))), lambda x: x["value"]).alias("seen"))
+
+
 def merged_candidates(cast: DataFrame, anchors: DataFrame, keys: list[str]) -> DataFrame:
     """Votes (keys, value, n) and anchors (keys, value) as one ranked list: an anchor without votes has 0."""
     every = cast.select(*keys, "value", "n").unionByName(anchors.select(*keys, "value", F.lit(0).cast("long").alias("n")))

@@ -55,6 +55,9 @@ def ligand_chains(ligands: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(stated, _items)))
 
 
+#: The wording of the notes in truncated() and note().
+
+
 def truncated(chain: Column, name: Column, oligo: Column, bound: Column) -> Column:
     """chain, name and note: of several chains the suggested one, its own name, and which ligands are left behind."""
     one = oligo["primary_protomer_suggestion"]["chain_id"]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -33,11 +32,14 @@ def waterfall(*rules: tuple[Column, str], default: str) -> Column:
 
 
 def first_rule(df: DataFrame, group: list[str], rules: list[tuple[Column, str]], order: list[Column], columns: list[str]) -> DataFrame:
-    """Per group the row chosen by the earliest rule that any row meets, and that rule's number and name."""
+    """Per group the row chosen by the earliest rule that any row meets, and that rule's number and name.
+
+    Of several rows the first in order counts; order has columns that sort upwards. A partial aggregate, no sort.
+    """
     rank = reduce(lambda out, r: F.when(F.coalesce(r[1][0], F.lit(False)), r[0]).otherwise(out), reversed(list(enumerate(rules, 1))), F.lit(len(rules) + 1))
     names = F.array(*[F.lit(n) for _, n in rules], F.lit("none"))
-    ranked = df.withColumn("rule", rank).withColumn("__n", F.row_number().over(W.partitionBy(*group).orderBy("rule", *order))).where("__n = 1")
-    return ranked.select(*group, *columns, F.col("rule").cast("long").alias("rule"), F.element_at(names, F.col("rule")).alias("reason"))
+    best = df.groupBy(*group).agg(F.min_by(F.struct(*columns, rank.alias("rule")), F.struct(rank, *order)).alias("r"))
+    return best.select(*group, *[F.col("r")[c].alias(c) for c in columns], F.col("r.rule").cast("long").alias("rule"), F.element_at(names, F.col("r.rule")).alias("reason"))
 
 
 def pending(available: DataFrame, done: DataFrame, key: str, required: int = 1) -> DataFrame:

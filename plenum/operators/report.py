@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plenum.functions.text import list_index, quoted_path, shortened
+from plenum.functions.text import list_index, quoted_path
 
 
 def findings(*kinds: tuple[DataFrame, str, Column, str]) -> DataFrame:
@@ -36,6 +37,28 @@ def dispatch(df: DataFrame, kind: str, targets: dict[str, str], default: str) ->
 
 
 def first_items(df: DataFrame, key: str, item: str, most: int) -> DataFrame:
-    """The smallest items of each key as a text, and how many more there are."""
-    items = shortened(F.transform(F.array_sort(F.collect_list(item)), lambda x: x.cast("string")), most)
-    return df.groupBy(key).agg(F.array_join(items, ", ").alias("items"))
+    """The smallest items of each key as a text, and how many more there are. Only ``most`` items of a key meet."""
+    counts = df.groupBy(key).agg(F.count(item).alias("n"))
+    ranked = df.where(F.col(item).isNotNull()).withColumn("__place", F.row_number().over(W.partitionBy(key).orderBy(item))).where(F.col("__place") <= most)
+    first = ranked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("__place", F.col(item).cast("string").alias("x")))).alias("some"))
+    more = F.when(F.col("n") > most, F.array(F.concat(F.lit("... ("), (F.col("n") - most).cast("string"), F.lit(" more)")))).otherwise(F.array().cast("array<string>"))
+    names = F.coalesce(F.transform("some", lambda x: x["x"]), F.array().cast("array<string>"))
+    return counts.join(first, key, "left").select(key, F.array_join(F.concat(names, more), ", ").alias("items"))
+
+
+def tallies(df: DataFrame, key: str, **conditions: Column) -> DataFrame:
+    """key, n and how many rows meet each condition; null doesn't."""
+    return df.groupBy(key).agg(F.count("*").alias("n"), *[F.count_if(c).alias(name) for name, c in conditions.items()])
+
+
+def promoted(oligo: Column) -> Column:
+    """What an oligomer analysis adds to the critical findings: a corrected chain, alerts, incomplete segments. Fixed wording."""
+    over = oligo["chain_id_override"]
+    shown = [F.coalesce(over[f], F.lit("None")) for f in ("original_chain_id", "corrected_chain_id", "trigger")]
+    chain = F.when(over["applied"], F.concat(F.lit("CHAIN_ID CORRECTED at 'receptor_info': "), shown[0], F.lit(" -> "), shown[1], F.lit(" ("), shown[2], F.lit("). Human confirmation required.")))
+    told = F.filter(oligo["alerts"], lambda a: a["type"].isin("HALLUCINATION", "MISSED_PROTOMER", "SUSPICIOUS_7TM"))
+    alerts = F.transform(told, lambda a: F.concat(F.lit("OLIGOMER ALERT at 'receptor_info': ["), a["type"], F.lit("] "), F.coalesce(a["message"], F.lit(""))))
+    poor = F.exists(oligo["all_gpcr_chains"], lambda c: c["7tm_status"] == "INCOMPLETE_7TM")
+    quality = F.when(poor, "STRUCTURAL QUALITY at 'receptor_info': One or more GPCR chains have INCOMPLETE 7TM domains.")
+    none = F.array().cast("array<string>")
+    return F.concat(F.array_compact(F.array(chain)), F.coalesce(alerts, none), F.array_compact(F.array(quality)))

@@ -86,3 +86,35 @@ def coerced(original: Column, said: Column) -> Column:
     )
     same = (kind == "VOID") & (said == "None")
     return F.when(same, original).otherwise(F.coalesce(typed, said.cast("variant")))
+
+
+def default_candidate(candidates: Column) -> Column:
+    """The place (from 0) of the candidate offered first: a verified one, else the majority's, else the best run's, else the first.
+
+    candidates: structs with verified, majority and best; null flags are false. Null for an empty list.
+    """
+    def first(flag: str) -> Column:
+        at = F.array_position(F.transform(candidates, lambda c: F.coalesce(c[flag], F.lit(False))), True)
+        return F.when(at > 0, at - 1)
+
+    return F.when(F.size(candidates) > 0, F.coalesce(first("verified"), first("majority"), first("best"), F.lit(0)).cast("int"))
+
+
+def highlighted(oligo: Column, chain: Column) -> Column:
+    """Whether an oligomer analysis needs a look: a corrected chain, an alert, several receptors or chains, incomplete segments."""
+    kinds = F.transform(oligo["alerts"], lambda a: a["type"])
+    told = F.exists(kinds, lambda k: k.isin("HALLUCINATION", "MISSED_PROTOMER", "CHAIN_ID_OVERRIDDEN", "SUSPICIOUS_7TM"))
+    poor = F.exists(oligo["all_gpcr_chains"], lambda c: c["7tm_status"] == "INCOMPLETE_7TM")
+    reasons = (oligo["chain_id_override"]["applied"], told, oligo["classification"].isin("HOMOMER", "HETEROMER"), F.contains(chain, F.lit(",")), poor)
+    no = F.lit(False)
+    return oligo.isNotNull() & F.exists(F.array(*[F.coalesce(r, no) for r in reasons]), lambda r: r)
+
+
+def loaded(records: DataFrame, differences: DataFrame, reports: DataFrame) -> DataFrame:
+    """records with ``controversies``, a map of paths to differences (of a path that comes twice the one largest in text),
+    and ``critical`` and ``conflicts``; what is missing is empty."""
+    last = differences.groupBy("entity", "path").agg(F.max(F.struct("majority_value", "best_value")).alias("d"))
+    maps = last.groupBy("entity").agg(F.map_from_entries(F.collect_list(F.struct("path", "d"))).alias("controversies"))
+    found = records.join(maps, "entity", "left").join(reports.select("entity", "critical", "conflicts"), "entity", "left")
+    none, empty = F.array().cast("array<string>"), F.map_from_entries(F.array().cast("array<struct<path:string,d:struct<majority_value:string,best_value:string>>>"))
+    return found.withColumns({"controversies": F.coalesce("controversies", empty), "critical": F.coalesce("critical", none), "conflicts": F.coalesce("conflicts", none)})

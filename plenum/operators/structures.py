@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.functions.text import NULL_LIKE, hamming, has_prefix
+from plenum.functions.text import BLANKS, NULL_LIKE, hamming, has_prefix
 from plenum.plans.tables import cut
 
-BLANKS = " \t\n\r\v\f"
-
 #: What a record says where nothing is bound, kinds that are found by chain, and component codes of
 #: buffers, ions and the like.
 NOTHING_BOUND = "apo"
@@ -439,7 +437,7 @@ def integrity(walked: DataFrame, context: DataFrame, known: DataFrame | None = N
 
 
 def is_alpha(description: Column) -> Column:
-    """Whether a description is that of a G-alpha subunit."""
+    """Whether a description is that of a G-alpha subunit. Its words and patterns are fixed values."""
     d = F.lower(F.coalesce(description, F.lit("")))
 
     def holds(*words):

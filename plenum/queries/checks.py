@@ -6,18 +6,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plenum.functions import text
-from plenum.operators import reference
+from plenum.operators import reference, report
 from plenum.plans.tables import table
 
 from .registry import query
 
 
-@query("ground_truth_overwrite", "SELECT o_orderkey, coalesce(c_mktsegment, o_orderpriority) AS segment, c_custkey IS NOT NULL AS overwritten FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
-def ground_truth_overwrite(spark, sf_dir):
-    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    joined = o.join(c, o.o_custkey == c.c_custkey, "left")
-    return joined.select("o_orderkey", F.coalesce("c_mktsegment", "o_orderpriority").alias("segment"), F.col("c_custkey").isNotNull().alias("overwritten"))
-
 
 @query("lookup_last_wins", "WITH l AS (SELECT s_nationkey, s_suppkey, s_name FROM supplier QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey DESC) = 1) SELECT n_name, s_suppkey, s_name FROM nation LEFT JOIN l ON s_nationkey = n_nationkey")
 def lookup_last_wins(spark, sf_dir):
@@ -82,47 +76,11 @@ def prefix_classifier(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", (~text.has_prefix(F.col("p_type"), ("eco", "sta"))).alias("accepted"))
 
 
-@query("keyword_classifier", r"SELECT p_partkey, CASE WHEN contains(p_name, 'ring') AND NOT contains(p_name, 'red') THEN true WHEN regexp_matches(p_name, '\b(bolt|nut|gear)s?\b') THEN true ELSE starts_with(p_type, 'PROMO') END AS hit FROM part")
-def keyword_classifier(spark, sf_dir):
-    name = F.col("p_name")
-    hit = F.when(name.contains("ring") & ~name.contains("red"), True).when(name.rlike(r"\b(bolt|nut|gear)s?\b"), True).otherwise(F.col("p_type").startswith("PROMO"))
-    return table(spark, sf_dir, "part").select("p_partkey", hit.alias("hit"))
-
-
-@query("exclude_list", "SELECT p_brand, count(*) AS n FROM part WHERE p_brand NOT IN ('Brand#1', 'Brand#2', 'Brand#3') GROUP BY p_brand")
-def exclude_list(spark, sf_dir):
-    return table(spark, sf_dir, "part").where(~F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3")).groupBy("p_brand").agg(F.count("*").alias("n"))
-
 
-@query("threshold_class", "SELECT p_partkey, CASE WHEN p_retailprice IS NULL THEN 'unknown' WHEN p_retailprice < 950 THEN 'small' ELSE 'large' END AS class FROM part")
-def threshold_class(spark, sf_dir):
-    price = F.col("p_retailprice").try_cast("double")
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(price.isNull(), "unknown").when(price < 950, "small").otherwise("large").alias("class"))
 
 
-@query("status_waterfall", "SELECT doc_id, CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'excluded' WHEN quality = 1 THEN 'matched' WHEN contains(text, '!!') THEN 'excluded by text' WHEN n_chars < 100 THEN 'short' ELSE 'ghost' END AS status FROM documents LEFT JOIN labels USING (doc_id)")
-def status_waterfall(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    rules = ((F.col("toxic") == 1, "toxic"), (F.col("quality") == 0, "excluded"), (F.col("quality") == 1, "matched"), (F.col("text").contains("!!"), "excluded by text"), (F.col("n_chars") < 100, "short"))
-    return d.select("doc_id", reference.waterfall(*rules, default="ghost").alias("status"))
 
 
-@query("identity_clash", "SELECT o_orderkey, count(*) AS lines, bool_and(s_nationkey = c_nationkey) AS matches, string_agg(DISTINCT s_nationkey::VARCHAR, ',' ORDER BY s_nationkey::VARCHAR) AS reality FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY o_orderkey")
-def identity_clash(spark, sf_dir):
-    o, c = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    lines, s = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(lines, o.o_orderkey == lines.l_orderkey).join(s, lines.l_suppkey == s.s_suppkey)
-    reality = F.array_join(F.array_sort(F.collect_set(F.col("s_nationkey").cast("string"))), ",")
-    return j.groupBy("o_orderkey").agg(F.count("*").alias("lines"), F.bool_and(F.col("s_nationkey") == F.col("c_nationkey")).alias("matches"), reality.alias("reality"))
-
-
-@query("distinct_classify", "SELECT o_orderkey, CASE WHEN count(l_suppkey) = 0 THEN 'NONE' WHEN count(l_suppkey) = 1 THEN 'MONO' WHEN count(DISTINCT l_suppkey) = 1 THEN 'HOMO' ELSE 'HETERO' END AS class FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
-def distinct_classify(spark, sf_dir):
-    # smallest and largest tell one value from several, without a distinct count's second shuffle
-    per = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("l_suppkey").alias("n"), F.min("l_suppkey").alias("a"), F.max("l_suppkey").alias("b"))
-    o = table(spark, sf_dir, "orders").select("o_orderkey").join(per, "o_orderkey", "left")
-    return o.select("o_orderkey", F.when(F.coalesce("n", F.lit(0)) == 0, "NONE").when(F.col("n") == 1, "MONO").when(F.col("a") == F.col("b"), "HOMO").otherwise("HETERO").alias("class"))
-
 
 @query("tail_match", "WITH c AS (SELECT c_custkey, right(c_name, 4) AS t FROM customer), s AS (SELECT right(s_name, 4) AS u, min(s_suppkey) AS leader, count(*) AS ties FROM supplier GROUP BY 1), m AS (SELECT *, (substr(t,1,1)=substr(u,1,1))::INT + (substr(t,2,1)=substr(u,2,1))::INT + (substr(t,3,1)=substr(u,3,1))::INT + (substr(t,4,1)=substr(u,4,1))::INT AS score FROM c CROSS JOIN s) SELECT c_custkey, max(score)::BIGINT AS score, count(*) FILTER (score = top) AS ties, min(leader) FILTER (score = top) AS leader FROM (SELECT *, max(score) OVER (PARTITION BY c_custkey) AS top FROM m) GROUP BY c_custkey")
 def tail_match(spark, sf_dir):
@@ -136,45 +94,15 @@ def tail_match(spark, sf_dir):
 @query("ranked_selection", "WITH r AS (SELECT *, CASE WHEN l_returnflag = 'R' AND l_quantity > 40 THEN 1 WHEN l_discount = 0.1 THEN 2 WHEN l_linestatus = 'O' THEN 3 ELSE 4 END AS rule FROM lineitem) SELECT l_orderkey, l_partkey, l_suppkey, rule::BIGINT AS rule, ['returned', 'cheap', 'open', 'none'][rule] AS reason FROM r QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY rule, l_extendedprice DESC, l_partkey, l_suppkey) = 1")
 def ranked_selection(spark, sf_dir):
     rules = [((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40), "returned"), (F.col("l_discount") == 0.1, "cheap"), (F.col("l_linestatus") == "O", "open")]
-    return reference.first_rule(table(spark, sf_dir, "lineitem"), ["l_orderkey"], rules, [F.desc("l_extendedprice"), F.col("l_partkey"), F.col("l_suppkey")], ["l_partkey", "l_suppkey"])
-
-
-ALERT = "WITH r AS (SELECT l_orderkey AS k, list_sort(list_distinct(list(l_suppkey % 7))) AS roster, list_sort(list_distinct(list(l_linenumber::BIGINT % 7))) AS reported FROM lineitem GROUP BY 1)"
-
-
-@query("alerts", ALERT + " SELECT k, len(list_filter(reported, lambda x: NOT list_contains(roster, x)))::BIGINT AS invented, len(list_filter(roster, lambda x: NOT list_contains(reported, x)))::BIGINT AS missed, CASE WHEN len(list_filter(reported, lambda x: NOT list_contains(roster, x))) > 0 THEN 'HALLUCINATION' WHEN len(list_filter(roster, lambda x: NOT list_contains(reported, x))) > 0 THEN 'MISSED' ELSE 'CONFIRMED' END AS alert FROM r")
-def alerts(spark, sf_dir):
-    r = rosters(spark, sf_dir)
-    invented, missed = F.size(F.array_except("reported", "roster")).cast("long"), F.size(F.array_except("roster", "reported")).cast("long")
-    return r.select("k", invented.alias("invented"), missed.alias("missed"), F.when(invented > 0, "HALLUCINATION").when(missed > 0, "MISSED").otherwise("CONFIRMED").alias("alert"))
-
-
-def rosters(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_set(F.col("l_suppkey") % 7)).alias("roster"), F.array_sort(F.collect_set(F.col("l_linenumber").cast("long") % 7)).alias("reported"))
-
-
-@query("override", ALERT + " SELECT k, reported[1] AS reported, CASE WHEN list_contains(roster, reported[1]) THEN reported[1] ELSE roster[1] END AS chosen, NOT list_contains(roster, reported[1]) AS applied FROM r")
-def override(spark, sf_dir):
-    said = F.get("reported", F.lit(0))
-    ok = F.array_contains("roster", said)
-    return rosters(spark, sf_dir).select("k", F.when(ok, said).otherwise(F.get("roster", F.lit(0))).alias("chosen"), (~ok).alias("applied"), said.alias("reported"))
-
+    return reference.first_rule(table(spark, sf_dir, "lineitem"), ["l_orderkey"], rules, [-F.col("l_extendedprice"), F.col("l_partkey"), F.col("l_suppkey")], ["l_partkey", "l_suppkey"])
 
-@query("orphan_radar", ALERT + " SELECT k, array_to_string(list_transform(roster, lambda x: x::VARCHAR), ',') AS kept, array_to_string(list_transform(list_filter(reported, lambda x: list_contains(roster, x) AND x <> roster[1]), lambda x: x::VARCHAR), ',') AS orphans FROM r")
-def orphan_radar(spark, sf_dir):
-    orphans = F.filter(F.array_intersect("reported", "roster"), lambda x: x != F.get("roster", F.lit(0)))
-    return rosters(spark, sf_dir).select("k", F.array_join(F.transform("roster", lambda x: x.cast("string")), ",").alias("kept"), F.array_join(F.transform(F.array_sort(orphans), lambda x: x.cast("string")), ",").alias("orphans"))
 
 
-@query("chain_inventory", "SELECT p_type, string_agg(p_name, ', ' ORDER BY p_name) AS names, count(DISTINCT p_brand) AS brands FROM part GROUP BY p_type")
-def chain_inventory(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    return p.groupBy("p_type").agg(F.array_join(F.array_sort(F.collect_list("p_name")), ", ").alias("names"), F.size(F.collect_set("p_brand")).cast("long").alias("brands"))
 
 
 @query("tallies", "SELECT event_type, count(*) AS n, count(*) FILTER (value > 50) AS large, count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY event_type")
 def tallies(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("large"), F.count_if(F.col("event_type") == "error").alias("failed"))
+    return report.tallies(table(spark, sf_dir, "events"), "event_type", large=F.col("value") > 50, failed=F.col("event_type") == "error")
 
 
 @query("row_rank", "SELECT n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) AS place, lead(n_name) OVER (PARTITION BY n_regionkey ORDER BY n_name) AS following FROM nation")

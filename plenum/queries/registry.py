@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import checks, reviews, texts, votes  # noqa: F401  they register themselves
+    from . import checks, nested, reviews, texts, votes  # noqa: F401  they register themselves
 
 
 def flagship(spark, sf_dir):

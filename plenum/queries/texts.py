@@ -52,16 +52,6 @@ def rate_window(spark, sf_dir):
     return e.select("event_id", F.count("*").over(W.partitionBy("user_id").orderBy("s").rangeBetween(-3600, 0)).alias("recent"))
 
 
-@query("fan_out_dispatch", "SELECT CASE event_type WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' WHEN 'error' THEN 'errors' ELSE 'other' END AS target, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1")
-def fan_out_dispatch(spark, sf_dir):
-    e = report.dispatch(table(spark, sf_dir, "events"), "event_type", {"click": "clicks", "view": "views", "error": "errors"}, "other")
-    return e.groupBy("target").agg(F.count("*").alias("n"), F.min("event_id").alias("first"))
-
-
-@query("note_concat", "SELECT o_orderkey, concat_ws(' ', CASE WHEN o_orderstatus = 'F' THEN 'Finished.' END, CASE WHEN o_totalprice > 200000 THEN 'Large.' END, CASE WHEN starts_with(o_orderpriority, '1') THEN 'Urgent.' END) AS note FROM orders")
-def note_concat(spark, sf_dir):
-    parts = F.when(F.col("o_orderstatus") == "F", "Finished."), F.when(F.col("o_totalprice") > 200000, "Large."), F.when(F.col("o_orderpriority").startswith("1"), "Urgent.")
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws(" ", *parts).alias("note"))
 
 
 FOUND = """found AS (
@@ -95,22 +85,12 @@ def impact(spark, sf_dir):
     return report.impact(found(spark, sf_dir))
 
 
-@query("json_props", "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, json_extract(props, '$.absent') IS NULL AS absent FROM events")
-def json_props(spark, sf_dir):
-    p = F.try_parse_json("props")
-    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(p, "$.k", "long").alias("k"), F.try_variant_get(p, "$.absent", "string").isNull().alias("absent"))
-
 
 @query("text_clean", "SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> ''), ' ')) AS cleaned FROM documents")
 def text_clean(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.clean_lines(F.col("text")).cast("binary")).alias("cleaned"))
 
 
-@query("name_standardise", r"SELECT p_partkey, CASE WHEN p_brand = 'Brand#1' THEN 'First' WHEN regexp_matches(p_brand, '^Brand#\d$') THEN 'Single ' || regexp_extract(p_brand, '(\d+)', 1) ELSE p_brand END AS name FROM part")
-def name_standardise(spark, sf_dir):
-    b = F.col("p_brand")
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(b == "Brand#1", "First").when(b.rlike(r"^Brand#\d$"), F.concat(F.lit("Single "), F.regexp_extract(b, r"(\d+)", 1))).otherwise(b).alias("name"))
-
 
 @query("line_list", "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents), k AS (SELECT upper(replace(trim(line, ' '), 'ß', 'SS')) AS id, min((doc_id * 100000) + pos) AS first FROM l WHERE trim(line, ' ') <> '' AND NOT starts_with(trim(line, ' '), '#') GROUP BY 1) SELECT md5(id) AS id, first FROM k")
 def line_list(spark, sf_dir):
@@ -121,10 +101,6 @@ def line_list(spark, sf_dir):
     return ids.select(F.md5(F.col("id").cast("binary")).alias("id"), F.col("pos").alias("first"))
 
 
-@query("html_extract", r"""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, 'href="([^"]*)"', 1) AS link, regexp_extract(url, '^https?://([^/]+)', 1) AS host FROM pages""")
-def html_extract(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", 'href="([^"]*)"', 1).alias("link"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"))
-
 
 @query("display_truncate", "WITH s AS (SELECT c_nationkey, list(c_custkey::VARCHAR ORDER BY c_custkey) AS l FROM customer GROUP BY 1) SELECT c_nationkey, array_to_string(CASE WHEN len(l) > 3 THEN list_append(l[:3], '... (' || (len(l) - 3) || ' more)') ELSE l END, ', ') AS shown FROM s")
 def display_truncate(spark, sf_dir):
@@ -133,11 +109,6 @@ def display_truncate(spark, sf_dir):
     return first_items(table(spark, sf_dir, "customer"), "c_nationkey", "c_custkey", 3).withColumnRenamed("items", "shown")
 
 
-@query("header_diff", "WITH a AS (SELECT n_nationkey AS k FROM nation), b AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9900) SELECT 'missing' AS side, k FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT 'extra', k FROM (SELECT k FROM b EXCEPT SELECT k FROM a)")
-def header_diff(spark, sf_dir):
-    a, b = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")), table(spark, sf_dir, "customer").where("c_acctbal > 9900").select(F.col("c_nationkey").alias("k"))
-    return a.subtract(b).select(F.lit("missing").alias("side"), "k").unionByName(b.subtract(a).select(F.lit("extra").alias("side"), "k"))
-
 
 @query("label_translate", "SELECT p_partkey, string_agg(CASE x WHEN 'red' THEN 'R' WHEN 'small' THEN 'S' ELSE x END, ', ' ORDER BY pos) AS labels FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS x, generate_subscripts(string_split(p_name, ' '), 1) AS pos FROM part) GROUP BY p_partkey")
 def label_translate(spark, sf_dir):

@@ -91,9 +91,8 @@ def topk_candidates(spark, sf_dir):
 
 @query("ordered_distinct", "SELECT user_id, string_agg(event_type, ', ' ORDER BY first) AS seen FROM (SELECT user_id, event_type, min(event_id) AS first FROM events GROUP BY ALL) GROUP BY user_id")
 def ordered_distinct(spark, sf_dir):
-    first = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first"))
-    items = F.array_sort(F.collect_list(F.struct("first", "event_type")))
-    return first.groupBy("user_id").agg(F.array_join(F.transform(items, lambda x: x["event_type"]), ", ").alias("seen"))
+    found = consensus.first_seen(table(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
+    return found.select("user_id", F.array_join("seen", ", ").alias("seen"))
 
 
 @query("latest_status", "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")

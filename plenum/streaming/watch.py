@@ -8,10 +8,13 @@ from pyspark.sql.types import StructType
 
 
 def arrivals(spark: SparkSession, folder: str, pending: DataFrame, suffix: str = "pdf") -> DataFrame:
-    """A stream of files whose name, without its ending, is a pending id; the checkpoint knows which were seen."""
+    """A stream of files whose name, without its ending, is a pending id; the checkpoint knows which were seen.
+
+    Spark decides by its size whether the pending ids are broadcast.
+    """
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", f"*.{suffix}").load(folder)
     named = files.select(F.upper(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)).alias("id"), "path", "length", (F.substring("content", 1, 4) == F.lit(b"%PDF")).alias("valid"))
-    return named.join(F.broadcast(pending.select("id")), "id")
+    return named.join(pending.select("id").distinct(), "id")
 
 
 def rates(spark: SparkSession, folder: str, schema: StructType, time: str, late: str = "10 minutes", width: str = "1 minute", step: str = "10 seconds") -> DataFrame:
@@ -27,6 +30,6 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
 
 
 def snapshot(stream: DataFrame, name: str) -> DataFrame:
-    """An aggregate over all that is there now, as a table in memory."""
+    """A small aggregate over all that is there now, as a table in the driver's memory; for large ones use run_available()."""
     stream.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.table(name)

@@ -195,6 +195,36 @@ def test_files_and_tables(spark, tmp_path):
     assert {(r["id"], r["status"]) for r in now.collect()} == {("x", "b"), ("y", "c")}
 
 
+def test_commits_are_all_or_none(spark, tmp_path):
+    rows = spark.createDataFrame([(1, True, " a\t"), (2, None, None)], "id long, flag boolean, t string")
+    out = str(tmp_path / "t")
+    files.append_tables({"t": (out, rows)})
+    back = spark.read.option("sep", "\t").option("header", True).csv(out)
+    assert sorted(tuple(r) for r in back.collect()) == [("1", "True", "a"), ("2", None, None)]
+    broken = rows.withColumn("id", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        files.commit([(out, rows, "csv", {}), (str(tmp_path / "u"), broken, "json", {})])
+    assert spark.read.option("sep", "\t").option("header", True).csv(out).count() == 2 and not (tmp_path / "u").exists()
+    assert not [x for x in tmp_path.iterdir() if "staged" in x.name]
+
+
+def test_aggregated_rows_caches_and_requests(spark, tmp_path):
+    records_ = spark.createDataFrame([("e", '{"a": 1}')], "entity string, t string").select("entity", F.parse_json("t").alias("v"))
+    reports = spark.createDataFrame([("e", ["w"])], "entity string, critical array<string>")
+    none = spark.createDataFrame([], "entity string, path string")
+    files.write_aggregated(records_, reports, none, str(tmp_path / "out"))
+    assert (tmp_path / "out" / "records").exists() and not (tmp_path / "out" / "differences").exists()
+    files.write_aggregated(records_, reports, spark.createDataFrame([("e", "p")], "entity string, path string"), str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out" / "differences")).count() == 1 and spark.read.json(str(tmp_path / "out" / "records")).count() == 2
+    for n, version in ((3, 1), (5, 2)):
+        files.write_cache(spark.range(n), str(tmp_path / "cache"), version)
+    assert files.cached(spark, str(tmp_path / "cache"), 2).count() == 5 and files.cached(spark, str(tmp_path / "cache"), 1).count() == 0
+    asked = spark.createDataFrame([("1ABC", 2, "text")], "entity string, run int, prompt string")
+    files.write_requests(asked, str(tmp_path / "asked"))
+    (line,) = [json.loads(x) for f in (tmp_path / "asked").glob("part-*") for x in f.read_text().splitlines()]
+    assert line == {"key": "1ABC_run_2", "request": {"contents": [{"parts": [{"text": "text"}]}]}}
+
+
 def test_streams_take_what_arrives_once(spark, tmp_path):
     folder = tmp_path / "papers"
     folder.mkdir()
