@@ -23,15 +23,14 @@ def _text(v: Column) -> Column:
 
 
 def _written(fields: Column, made: dict[str, Column]) -> Column:
-    """A map of VARIANTs with the fields in made that aren't null in place of its own."""
-    own = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), x.alias("value")) for k, x in made.items()]), lambda e: e["value"].isNotNull())
-    names = F.transform(own, lambda e: e["key"])
-    return F.map_concat(F.map_filter(fields, lambda k, x: ~F.array_contains(names, k)), F.map_from_entries(own))
+    """A map of VARIANTs with the fields in made that aren't null in place of its own. Each part is evaluated once."""
+    new = F.create_map(*[x for k, c in made.items() for x in (F.lit(k), c)])
+    return F.map_filter(F.map_zip_with(fields, new, lambda k, x, y: F.coalesce(y, x)), lambda k, x: x.isNotNull())
 
 
 def written(v: Column, made: dict[str, Column]) -> Column:
     """A record with the fields in made (VARIANTs) that aren't null in place of its own; what is no object stays as it is."""
-    return F.when(_object(v).isNull(), v).otherwise(F.to_variant_object(_written(_object(v), made)))
+    return F.coalesce(F.to_variant_object(_written(_object(v), made)), v)
 
 
 def patched(v: Column, name: str, made: dict[str, Column]) -> Column:
@@ -39,22 +38,20 @@ def patched(v: Column, name: str, made: dict[str, Column]) -> Column:
 
     What stands under the name but is no object stays as it is, and so does a record that is none.
     """
-    fields, inner = _object(v), F.try_variant_get(v, f"$.{name}", "variant")
     none = F.map_filter(F.create_map(F.lit(""), F.lit(None).cast("variant")), lambda k, x: F.lit(False))
-    old = F.when(F.map_contains_key(fields, name), _object(inner)).otherwise(none)
-    whole = F.to_variant_object(_written(fields, {name: F.to_variant_object(_written(old, made))}))
-    return F.when(fields.isNull() | old.isNull(), v).otherwise(whole)
+    inner = F.try_variant_get(v, f"$.{name}", "variant")
+    old = F.when(inner.isNull(), none).otherwise(_object(inner))
+    return written(v, {name: F.to_variant_object(_written(old, made))})
 
 
 def item_fields(v: Column, name: str, found: Column, made) -> Column:
     """A record whose list ``name`` has fields written into its items: made gives those of an item from its entry in found."""
 
     def one(item, c):
-        return F.when(_object(item).isNotNull() & c.isNotNull(), F.to_variant_object(_written(_object(item), made(c)))).otherwise(item)
+        return F.when(c.isNull(), item).otherwise(written(item, made(c)))
 
     items = F.try_variant_get(v, f"$.{name}", "array<variant>")
-    whole = F.to_variant_object(_written(_object(v), {name: F.to_variant_object(F.zip_with(items, found, one))}))
-    return F.when(items.isNull() | (F.size(items) != F.size(found)), v).otherwise(whole)
+    return written(v, {name: F.to_variant_object(F.zip_with(items, found, one))})
 
 
 def standard_name(name: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plenum.functions.records import written
+from plenum.plans.tables import cut
 
 from .reference import waterfall
 from .structures import BUFFERS
@@ -101,14 +102,70 @@ def named(entries: DataFrame, names: DataFrame, mark: str) -> DataFrame:
 
         return F.when(units.isNotNull(), written(p, {"uniprots": F.to_variant_object(F.transform(units, unit))})).otherwise(p)
 
-    entry = F.try_variant_get("v", "$.data.entry", "variant")
     polymers = F.try_variant_get("v", "$.data.entry.polymer_entities", "array<variant>")
-    data = F.try_variant_get("v", "$.data", "variant")
-    whole = written(F.col("v"), {"data": written(data, {"entry": written(entry, {"polymer_entities": F.to_variant_object(F.transform(polymers, polymer))})})})
+    whole = _entry_with(F.col("v"), {"polymer_entities": F.to_variant_object(F.transform(polymers, polymer))})
     rows = entries.join(per, "entity", "left")
     return rows.withColumn("v", F.when(F.col("names").isNotNull() & polymers.isNotNull() & text.contains('"uniprots"'), whole).otherwise(F.col("v"))).drop("names")
 
 
+def _entry_with(v: Column, made: dict[str, Column]) -> Column:
+    """An entry document with fields (VARIANTs) of its entry written; a document without an entry stays as it is."""
+    data, entry = F.try_variant_get(v, "$.data", "variant"), F.try_variant_get(v, "$.data.entry", "variant")
+    whole = written(v, {"data": written(data, {"entry": written(entry, made)})})
+    return F.when(F.schema_of_variant(entry).startswith("OBJECT"), whole).otherwise(v)
+
+
+def identified(entries: DataFrame, compounds: DataFrame, descriptors: DataFrame, mark: str) -> DataFrame:
+    """Entry documents (entity, v) whose components have their kind by weight, and what captured tables know of them.
+
+    compounds: key (an InChIKey), cid, synonyms. descriptors: code, SMILES, SMILES_stereo, InChIKey; of buffers and
+    ions nothing is taken, and an InChIKey that is there stays. Of several rows of a key the smallest counts. What
+    nobody knows is null, synonyms an empty list. Keys and codes are looked up once each.
+    """
+    paths = "$.data.entry.nonpolymer_entities"
+    parts = F.try_variant_get("v", paths, "array<variant>")
+
+    def field(c, path):
+        return F.try_variant_get(c, f"$.nonpolymer_comp.{path}", "string")
+
+    key, code, weight = "rcsb_chem_comp_descriptor.InChIKey", "chem_comp.id", "chem_comp.formula_weight"
+    asked = entries.select("entity", F.explode(F.array_distinct(F.transform(parts, lambda c: F.struct(field(c, key).alias("key"), field(c, code).alias("code"))))).alias("a")).select("entity", "a.*")
+    known = compounds.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("cid", "synonyms")).alias("c"))
+    shapes = descriptors.where(F.col("code").isNotNull() & ~F.col("code").isin(*BUFFERS)).groupBy("code").agg(F.min(F.struct("SMILES", "SMILES_stereo", "InChIKey")).alias("d"))
+    met = asked.join(known, "key", "left").join(shapes, "code", "left").where("c IS NOT NULL OR d IS NOT NULL")
+    per = met.groupBy("entity").agg(F.collect_list(F.struct("key", "code", "c", "d")).alias("met"))
+
+    def beside(c):
+        return F.struct(c.alias("c"), F.get(F.filter("met", lambda m: m["key"].eqNullSafe(field(c, key)) & m["code"].eqNullSafe(field(c, code))), F.lit(0)).alias("m"))
+
+    def one(x):
+        c, mine = x["c"], x["m"]
+        comp, old = F.try_variant_get(c, "$.nonpolymer_comp", "variant"), F.try_variant_get(c, "$.nonpolymer_comp.rcsb_chem_comp_descriptor", "variant")
+        nothing = F.parse_json(F.lit("null"))
+        names = F.coalesce(mine["c"]["synonyms"], F.array().cast("array<string>"))
+        own = {f"{mark}_determined_type": component_kind(field(c, weight)).cast("variant"), f"{mark}_pubchem_cid": F.coalesce(mine["c"]["cid"].cast("variant"), nothing), f"{mark}_pubchem_synonyms": F.to_variant_object(names)}
+        shape = mine["d"]
+        drawn = {n: F.when(shape.isNotNull(), F.coalesce(shape[n].cast("variant"), nothing)) for n in ("SMILES", "SMILES_stereo")}
+        drawn["InChIKey"] = F.when(shape.isNotNull() & (F.coalesce(field(c, key), F.lit("")) == ""), shape["InChIKey"].cast("variant"))
+        own["rcsb_chem_comp_descriptor"] = F.when(F.schema_of_variant(old).startswith("OBJECT"), written(old, drawn))
+        return F.when(F.schema_of_variant(comp).startswith("OBJECT"), written(c, {"nonpolymer_comp": written(comp, own)})).otherwise(c)
+
+    rows = entries.join(per, "entity", "left").withColumn("met", F.coalesce("met", F.array().cast(per.schema["met"].dataType)))
+    return rows.withColumn("v", F.when(parts.isNotNull(), _entry_with(F.col("v"), {"nonpolymer_entities": F.to_variant_object(F.transform(F.transform(parts, beside), one))})).otherwise(F.col("v"))).drop("met")
+
+
+def enriched(docs: DataFrame, done: DataFrame, names: DataFrame, compounds: DataFrame, descriptors: DataFrame, papers: DataFrame, mark: str) -> DataFrame:
+    """entity, v of the documents that aren't done yet, with names of accessions, components' ids and siblings.
+
+    papers: entity, siblings (as siblings() gives them). Each step ends in a checkpoint, as it rewrites the document.
+    """
+    fresh = docs.join(done.select("entity").distinct(), "entity", "left_anti")
+    known = cut(identified(cut(named(fresh, names, mark)), compounds, descriptors, mark))
+    rows = known.join(papers.groupBy("entity").agg(F.first("siblings").alias("siblings")), "entity", "left")
+    some = F.when(F.size("siblings") > 0, F.to_variant_object("siblings"))
+    return rows.select("entity", _entry_with(F.col("v"), {"sibling_pdbs": some}).alias("v"))
+
+
 def inventory(entity: Column, polymers: Column) -> Column:
     """The text that lists an entry's chains by description, in order of first mention. Fixed wording; polymers have description and listed."""
     kinds = F.array_distinct(F.transform(polymers, lambda p: F.when(p["description"] != "", p["description"]).otherwise("Unknown polymer")))

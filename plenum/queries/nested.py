@@ -363,3 +363,23 @@ def names_written(spark, sf_dir):
     at = "$.data.entry.polymer_entities[0].uniprots"
     found = acquisition.named(docs, names, "x")
     return found.select(F.col("entity").alias("p_partkey"), F.try_variant_get("v", f"{at}[0].x_entry_name_slug", "string").alias("first"), F.try_variant_get("v", f"{at}[1].x_entry_name_slug", "string").alias("second"))
+
+
+@query("entries_enriched", """SELECT p_partkey, CASE WHEN p_size <= 24 THEN 'n' || p_size END AS name, CASE WHEN p_retailprice < 900 THEN 'small-molecule' ELSE 'peptide' END AS kind,
+  CASE WHEN p_size > 40 THEN p_size::VARCHAR END AS cid, CASE WHEN p_size % 2 = 0 THEN 'C' || p_size END AS smiles, p_partkey % 3 = 0 AS sibling FROM part WHERE p_partkey % 10 <> 0""")
+def entries_enriched(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    size = F.col("p_size").cast("string")
+    unit = F.concat(F.lit('[{"uniprots": [{"rcsb_id": "S'), size, F.lit('"}]}]'))
+    part = F.concat(F.lit('[{"nonpolymer_comp": {"chem_comp": {"id": "Q'), size, F.lit('", "formula_weight": '), F.col("p_retailprice").cast("string"), F.lit('}, "rcsb_chem_comp_descriptor": {"InChIKey": "K'), size, F.lit('"}}}, null]'))
+    docs = p.select(F.col("p_partkey").alias("entity"), F.parse_json(F.concat(F.lit('{"data": {"entry": {"polymer_entities": '), unit, F.lit(', "nonpolymer_entities": '), part, F.lit("}}}"))).alias("v"))
+    sizes = p.select("p_size").distinct().withColumn("s", F.col("p_size").cast("string"))
+    names = sizes.where("p_size <= 24").select(F.concat(F.lit("S"), "s").alias("accession"), F.concat(F.lit("n"), "s").alias("name"))
+    compounds = sizes.where("p_size > 40").select(F.concat(F.lit("K"), "s").alias("key"), F.col("s").alias("cid"), F.array("s").alias("synonyms"))
+    shapes = sizes.where("p_size % 2 = 0").select(F.concat(F.lit("Q"), "s").alias("code"), F.concat(F.lit("C"), "s").alias("SMILES"), _null().alias("SMILES_stereo"), F.lit("other").alias("InChIKey"))
+    papers = p.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("entity"), F.array(F.lit("X")).alias("siblings"))
+    done = p.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("entity"))
+    found = acquisition.enriched(docs, done, names, compounds, shapes, papers, "x")
+    paths = {"name": "polymer_entities[0].uniprots[0].x_entry_name_slug", "kind": "nonpolymer_entities[0].nonpolymer_comp.x_determined_type", "cid": "nonpolymer_entities[0].nonpolymer_comp.x_pubchem_cid", "smiles": "nonpolymer_entities[0].nonpolymer_comp.rcsb_chem_comp_descriptor.SMILES"}
+    got = [F.try_variant_get("v", f"$.data.entry.{path}", "string").alias(n) for n, path in paths.items()]
+    return found.select(F.col("entity").alias("p_partkey"), *got, F.try_variant_get("v", "$.data.entry.sibling_pdbs[0]", "string").isNotNull().alias("sibling"))
