@@ -10,8 +10,8 @@ compared:
    decides: l less its hot shingles are the shared ones it must have; pairs below that are no candidates.
 2. A set with too many hot shingles for its l is costly. The share of hot ones in its prefix estimates how many a
    longer prefix has, and with that the length at which enough cold ones are left to ask for. Costly sets meet again
-   with longer prefixes and larger l, up to the whole set, until they aren't costly any more; lengths at which no
-   set's estimate is good are skipped. Of two sets one at least has to be done for the pair to be found, so whoever
+   with longer prefixes and larger l, up to the whole set, until they aren't costly any more, at those lengths that
+   by the estimates of all sets send the fewest shingles in total. Of two sets one at least has to be done for the pair to be found, so whoever
    isn't done takes part.
 3. What even as a whole set consists of hot shingles by t or more (large groups of near copies) is grouped by its own
    shingles; each batch of sets joins those that share one first, and tells one of them per shingle.
@@ -23,6 +23,7 @@ returns stars, not pairs. Sets with equal content are one set throughout.
 
 from __future__ import annotations
 
+import itertools
 import string
 
 import numpy as np
@@ -279,6 +280,23 @@ def estimate(shares: tuple[float, ...], now: float) -> Column:
     return out
 
 
+def cheapest(sums: dict[int, list[int]], shares: int) -> list[int]:
+    """Which of some lengths costly sets should meet at, so that fewest shingles are sent; the whole set comes after all.
+
+    sums: for the sets that should be done at a length (or at none: ``shares``), their shingles at each, and as whole sets.
+    """
+
+    def cost(chosen: tuple[int, ...]) -> int:
+        total = 0
+        for k, row in sums.items():
+            ends = next((j for j in chosen if j >= k), shares)
+            total += sum(row[j] for j in (*chosen, shares) if j <= ends)
+        return total
+
+    every = [c for n in range(shares + 1) for c in itertools.combinations(range(shares), n)]
+    return list(min(every, key=lambda c: (cost(c), len(c))))
+
+
 def _hub_edges(sets: DataFrame, scratch: Scratch) -> DataFrame:
     """fp, hub: edges that connect all sets which share one of their first n - ceil(t n) + 1 shingles.
 
@@ -446,7 +464,8 @@ def _rooted(rows: DataFrame, scratch: Scratch) -> DataFrame:
     wanted = one.join(paired.unionByName(hot.select("fp")).distinct(), "fp").join(hot, "fp", "left").withColumn("costly", _costly(SHARES[0]))
     wanted = wanted.join(paired.withColumn("paired", F.lit(True)), "fp", "left").where("costly OR paired")
     wanted = scratch.write(wanted.select("key", "fp", "n", "costly", F.when(F.col("costly"), estimate(SHARES[1:], SHARES[0])).alias("step")), "wanted")
-    useful = {r["step"] for r in wanted.where("costly").select("step").distinct().collect()}  # one row a share at most
+    lengths = [F.sum(_length(F.col("n"), share)).alias(str(i)) for i, share in enumerate((*SHARES[1:], None))]
+    useful = cheapest({r[0]: list(r[1:]) for r in wanted.where("costly").groupBy("step").agg(*lengths).collect()}, len(SHARES) - 1)  # a row a share
 
     def collect(batches):
         for batch in batches:

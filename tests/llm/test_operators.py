@@ -100,6 +100,15 @@ def test_ngram_join_is_brute_force(spark, docs, which):
     assert got == brute_components(texts(frame))
 
 
+def test_prefixes_grow_where_that_sends_less():
+    # 90 of 100 sets should be done at the first length: they meet there; if hardly any is, all meet as whole sets at once
+    assert ngram_join.cheapest({0: [45 * 90, 60 * 90, 100 * 90], 2: [450, 600, 1000]}, 2) == [0]
+    assert ngram_join.cheapest({0: [45, 60, 100], 2: [4500, 6000, 10000]}, 2) == []
+    assert ngram_join.cheapest({0: [4500, 6000, 10000], 1: [4500, 6000, 10000]}, 2) in ([1], [0, 1])
+    assert ngram_join.cheapest({}, 2) == []
+    assert ngram_join.prefix(100, 0.04) == 30 and ngram_join.prefix(100, None) == 100 and ngram_join.prefix(1, 0.5) == 1
+
+
 def test_pipeline_keeps_one_row_of_each_component_and_all_others(spark):
     import corpus_pipeline
 
