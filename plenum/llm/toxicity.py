@@ -2,7 +2,8 @@
 
 Folding lowers case, drops accents, maps homoglyphs and the digits and signs that stand for letters, and turns
 all else into blanks, so one entry finds all disguises of a word. Entries are words or word starts, learned from
-labelled rows with their log odds. An exception phrase that covers a hit takes it back.
+labelled rows with their log odds. Precise entries say something wherever they are; others, which clean texts hold
+by chance, by how dense they are. An exception phrase that covers a hit takes it back.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .common import crc_fold, only
 from .compression_quality import logistic
 
 TOXIC_ROWS, CLEAN_ROWS, BYTES, LONGEST, TERMS, ACCEPT = 1500, 3000, 12_000_000, 187_500, 512, 0.3
+#: Entries of this weight or more say something by being there at all, others by how often they are; and how much denser these are in toxic rows.
+SURE, DENSER = 4.0, 10.0
 
 #: Letters of other scripts that look like Latin ones, and signs written for letters.
 LOOKS = dict(zip("аеорсухіјѕԁһӏпкмтвгɡɑοανρτυικηωßıłøđ", "aeopcyxijsdhlnkmtbrgaoavptuiknwsilod", strict=True))
@@ -86,8 +89,8 @@ class Lexicon:
 
     def features(self, text: str) -> tuple[float, float, float]:
         folded = fold(text)
-        total = sum(w for _, _, w in self.hits(folded))
-        return 1.0, math.log1p(100 * total / (folded.count(" ") + 20)), float(total > 0)
+        weights = [w for _, _, w in self.hits(folded)]
+        return 1.0, math.log1p(100 * sum(weights) / (folded.count(" ") + 20)), float(any(w >= SURE for w in weights))
 
     def score(self, text: str) -> float:
         x = sum(a * b for a, b in zip(self.calibration, self.features(text), strict=True))
@@ -103,13 +106,47 @@ def _terms(folded: str) -> set[str]:
     return out
 
 
+def _dense(rows: list[tuple[str, int]], support: int) -> dict[str, float]:
+    """Word starts that toxic rows hold far more densely than clean ones, although clean ones hold them, too; with their weights.
+
+    Greedily: the term that most toxic rows have, of those that are DENSER times as dense on average. A row's density
+    is capped, so one row that repeats a word says little.
+    """
+    def held(text: str) -> dict[str, float]:
+        words = text.split()
+        count = Counter(f" {w[:n]}" for w in words for n in range(4, min(len(w), 12) + 1))
+        return {t: min(c / (len(words) + 20), 0.03) for t, c in count.items()}
+
+    toxic = [held(t) for t, y in rows if y]
+    many = Counter(t for d in toxic for t in d)
+    clean: Counter = Counter()
+    for text, y in rows:
+        if not y:
+            clean.update({t: x for t, x in held(text).items() if many[t] >= support})
+    n1, n0 = max(1, len(toxic)), max(1, len(rows) - len(toxic))
+    found: dict[str, float] = {}
+    while True:
+        mass, many = Counter(), Counter()
+        for d in toxic:
+            mass.update(d)
+            many.update(d.keys())
+        ratio = {t: (mass[t] / n1) / ((clean[t] + 0.02) / n0) for t, c in many.items() if c >= support}
+        good = [t for t, r in ratio.items() if r >= DENSER]
+        if not good:
+            return found
+        best = min(good, key=lambda t: (-many[t], -len(t), t))
+        found[best] = min(math.log(ratio[best]), SURE - 0.1)
+        toxic = [d for d in toxic if best not in d]
+
+
 def learn(rows: list[tuple[str, int]], phrases: tuple[str, ...] = (), terms: int = TERMS, support: int = 4, precision: float = 0.9, share: float | None = None) -> Lexicon:
-    """Half of the rows give the lexicon, the others its calibration. phrases are exceptions known beforehand.
+    """Two of three rows give the lexicon, the others its calibration. phrases are exceptions known beforehand.
 
-    Terms are taken greedily: the one that covers most toxic rows not yet covered, as long as it is precise.
+    Terms are taken greedily: the one that covers most toxic rows not yet covered, as long as it is precise. Where such
+    terms cover few rows each, those that toxic rows hold densely come first.
     """
     folded = [(fold(t), y) for t, y in rows if t]
-    train, rest = folded[::2], folded[1::2]
+    train, rest = [r for i, r in enumerate(folded) if i % 3 < 2], folded[2::3]
     toxic, clean = [t for t, y in train if y], [t for t, y in train if not y]
     count: Counter = Counter()
     for t in toxic:
@@ -126,26 +163,36 @@ def learn(rows: list[tuple[str, int]], phrases: tuple[str, ...] = (), terms: int
         for w in s:
             where.setdefault(w, set()).add(i)
     weights: dict[str, float] = {}
-    while where and len(weights) < terms:
-        w = min(where, key=lambda x: (-len(where[x]), -len(x), x))
-        got = where[w]
-        if len(got) < 2:
-            break
-        weights[w] = math.log((count[w] + 0.5) / (len(toxic) + 1)) - math.log((against[w] + 0.1) / (len(clean) + 1))
-        for i in got:
-            for x in holds[i]:
-                if x != w and x in where:
-                    where[x] = where[x] - {i} if len(where[x]) > len(got) * 4 else where[x]
-        left = set(got)
-        del where[w]
-        where = {x: s for x, s in ((x, s - left) for x, s in where.items()) if s}
+
+    def take(least: int) -> None:
+        """Entries that cover ``least`` toxic rows or more that nothing covers yet."""
+        while where and len(weights) < terms:
+            w = min(where, key=lambda x: (-len(where[x]), -len(x), x))
+            got = where.pop(w)
+            if len(got) < least:
+                where[w] = got
+                return
+            weights[w] = max(SURE, math.log((count[w] + 0.5) / (len(toxic) + 1)) - math.log((against[w] + 0.1) / (len(clean) + 1)))
+            for x in list(where):
+                where[x] = where[x] - got
+                if not where[x]:
+                    del where[x]
+
+    take(max(2, min(2 * support, len(toxic) // 20)))
+    first = Lexicon(dict(weights))
+    weak = _dense([(t, y) for t, y in train if not (y and first.hits(t))], support)
+    covered = {i for i, t in enumerate(toxic) if any(w in t for w in weak)}
+    for x in list(where):
+        where[x] = where[x] - covered
+        if not where[x]:
+            del where[x]
+    take(2)
     # further words of the same rows: precise terms that are frequent, though other terms cover their rows
     for w in sorted(good, key=lambda x: (-count[x], len(x), x)):
         if len(weights) >= terms or count[w] < 3 * support:
             break
         if not any(w != x and w.startswith(x) for x in weights):
-            weights[w] = math.log((count[w] + 0.5) / (len(toxic) + 1)) - math.log((against[w] + 0.1) / (len(clean) + 1))
-    weights = {w: v for w, v in weights.items() if v > 0}
+            weights[w] = max(SURE, math.log((count[w] + 0.5) / (len(toxic) + 1)) - math.log((against[w] + 0.1) / (len(clean) + 1)))
     spared = {fold(p) for p in phrases}
     lexicon = Lexicon(weights)
     about: Counter = Counter()
@@ -158,6 +205,7 @@ def learn(rows: list[tuple[str, int]], phrases: tuple[str, ...] = (), terms: int
                     if p.strip().count(" ") == 1:
                         about[p] += -1000 if y else 1
     spared |= {p for p, n in about.items() if n >= support}
+    weights = {**weak, **weights}
     lexicon = Lexicon(weights, tuple(sorted(spared)))
     x = np.array([lexicon.features(t) for t, _ in rest])
     y = np.array([y for _, y in rest], float)
