@@ -30,17 +30,23 @@ def winners(df: DataFrame, keys: list[str], fields: list[str], order: str, soft:
     return majority(long, [*keys, "field"], "value", order)
 
 
-def _wide(df: DataFrame, keys: list[str], fields: list[str], order: str) -> DataFrame:
-    found = winners(df, keys, fields, order)
-    return found.groupBy(*keys).agg(*[F.max_by("winner", F.col("field") == f).alias(f"w_{f}") for f in fields], *[F.max_by("votes", F.col("field") == f).alias(f"v_{f}") for f in fields])
+def best(df: DataFrame, keys: list[str], fields: list[str], order: str) -> DataFrame:
+    """The record of each group that agrees with most winners, its score, and the winners beside its own values.
 
+    Records that are alike are one row from the start, with their number and the first of them, so all that follows
+    has a row per distinct record. Winners of all fields come from one aggregate over candidates.
+    """
+    alike = df.groupBy(*keys, *fields).agg(F.count("*").alias("__n"), F.min(order).alias(order))
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields]))
+    cast = alike.select(*keys, order, "__n", pairs.alias("x")).groupBy(*keys, "x.field", "x.value").agg(F.sum("__n").alias("n"), F.min(order).alias("first"))
 
-def best(df: DataFrame, keys: list[str], fields: list[str], order: str) -> DataFrame:
-    """The record of each group that agrees with most winners, its score, and the winners beside its own values."""
-    scored = df.join(_wide(df, keys, fields, order), keys)
+    def rank(f: str):
+        return F.when(F.col("field") == f, F.struct("n", -F.col("first")))
+
+    wide = cast.groupBy(*keys).agg(*[F.max_by(F.struct("value"), rank(f))["value"].alias(f"w_{f}") for f in fields], *[F.max(F.when(F.col("field") == f, F.col("n"))).alias(f"v_{f}") for f in fields])
     score = sum((F.col(f).cast("string").eqNullSafe(F.col(f"w_{f}"))).cast("long") for f in fields)
     whole = F.struct(order, *fields, *[f"{p}_{f}" for f in fields for p in "wv"])
-    top = scored.withColumn("score", score).groupBy(*keys).agg(F.max("score").alias("score"), F.max_by(whole, F.struct("score", -F.col(order))).alias("r"))
+    top = alike.join(wide, keys).withColumn("score", score).groupBy(*keys).agg(F.max("score").alias("score"), F.max_by(whole, F.struct("score", -F.col(order))).alias("r"))
     return top.select(*keys, "score", "r.*")
 
 
