@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, only
 from .tokens import Vocabulary
 
-CAPACITY, END, SMALL, LEAST = 1024, 2, 64, 0.02
+CAPACITY, END, SMALL, LEAST, SWEEP_ROWS = 1024, 2, 64, 0.02, 4_000_000
 PIECE, GAP, PLACED = 0, 1, 2
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, item long, inner long, total long"
@@ -207,21 +207,24 @@ def fit(items: DataFrame, scratch: Scratch, capacity: int = CAPACITY, least: flo
     """id, sequence, offset for all items (id, size; sizes below the capacity), and the number of supersteps.
 
     Sweeps end when one places less than ``least`` of what was there, or nothing is left. Each superstep's result is
-    a table in the shared folder. The driver sees two counts a task.
+    a table in the shared folder. The driver sees three counts a task, and a task SWEEP_ROWS rows of three numbers.
     """
     spark = scratch.spark
     sums = items.agg(F.count("*").alias("n"), F.sum("size").alias("all"), F.count_if(F.col("size") > capacity // 2).alias("half")).first()
     left, log, steps = sums["n"], [], 0
+    opened = max(-(-(sums["all"] or 0) // capacity), sums["half"])
+    # a task holds its range, so ranges are bounded whatever the session's number of partitions is
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(left + opened) // SWEEP_ROWS))
     now = items.select(F.lit(PIECE).alias("kind"), "size", "id")
     if left:
-        gaps = spark.range(max(-(-sums["all"] // capacity), sums["half"]))
+        gaps = spark.range(opened)
         now = now.unionByName(gaps.select(F.lit(GAP).alias("kind"), F.lit(capacity).cast("long").alias("size"), (F.col("id") * 4 + 1).alias("id")))
     while left:
-        dealt = now.select("size", "kind", "id").repartitionByRange("size", "kind", "id").sortWithinPartitions("size", "kind", "id")
+        dealt = now.select("size", "kind", "id").repartitionByRange(ranges, "size", "kind", "id").sortWithinPartitions("size", "kind", "id")
         met = scratch.write(dealt.mapInArrow(_sweep(capacity), STATE), f"met{steps}")
         counts: dict[int, list[int]] = {}
         placed = 0
-        for r in met.where(F.col("rank").isNotNull() | (F.col("kind") == PLACED)).groupBy("task", "kind").count().collect():  # two rows a task at most
+        for r in met.where(F.col("rank").isNotNull() | (F.col("kind") == PLACED)).groupBy("task", "kind").count().collect():  # three rows a task at most
             if r["kind"] == PLACED:
                 placed += r["count"]
             else:
