@@ -114,6 +114,25 @@ def nodes(df: DataFrame, keys: list[str], v: str = "v") -> DataFrame:
     return walk(df, keys, v).where(F.size("above") > 0).select(*keys, "path", "name", kind.alias("kind"), "value")
 
 
+def _shown(x, names: tuple[str, ...], most: int):
+    if isinstance(x, dict):
+        return {k: [*y[:most], f"... ({len(y) - most} more)"] if k in names and isinstance(y, list) and len(y) > most else _shown(y, names, most) for k, y in x.items()}
+    return [_shown(y, names, most) for y in x] if isinstance(x, list) else x
+
+
+def display(df: DataFrame, keys: list[str], v: str = "v", names: tuple[str, ...] = ("synonyms",), most: int = 3) -> DataFrame:
+    """keys, v: records for display, in which lists under some names have their first items and a note of how many more
+    there are, at any depth. Null records are left out."""
+    some = df.where(F.col(v).isNotNull()).select(*keys, F.to_json(v).alias("__text"))
+
+    def run(batches):
+        for batch in batches:
+            texts = [json.dumps(_shown(json.loads(t), names, most), ensure_ascii=False) for t in batch.column(len(keys)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=batch.schema.names)
+
+    return some.mapInArrow(run, some.schema).select(*keys, F.parse_json("__text").alias("v"))
+
+
 def _voters(df: DataFrame, entity: str, order: str, v: str, keyed: dict[str, str], soft: tuple[str, ...]) -> DataFrame:
     """entity, path, above, name, ord, nth, kind, value: all that vote at a path, in order of ord and nth.
 

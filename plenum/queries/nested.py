@@ -276,6 +276,16 @@ def tree_diff(spark, sf_dir):
     return tree.differences(tree.best_record(df, major, "e", "event_id"), major, tree.majority(df, "e", "event_id")[0], "e")
 
 
+@query("display_copy", """SELECT c_nationkey, CASE WHEN count(*) > 3 THEN list_append((list(c_custkey::VARCHAR ORDER BY c_custkey))[:3], '... (' || (count(*) - 3) || ' more)')[4] END AS fourth, count(*) AS others FROM customer GROUP BY 1""")
+def display_copy(spark, sf_dir):
+    ids = F.transform(F.array_sort(F.collect_list("c_custkey")), lambda x: x.cast("string"))
+    inner = F.struct(ids.alias("synonyms"), ids.alias("others"))
+    rows = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.to_variant_object(F.struct(F.array(F.struct(inner.alias("in"))).alias("list"))).alias("v"))
+    shown = tree.display(rows, ["c_nationkey"])
+    others = F.size(F.try_variant_get("v", "$.list[0].in.others", "array<string>")).cast("long")
+    return shown.select("c_nationkey", F.try_variant_get("v", "$.list[0].in.synonyms[3]", "string").alias("fourth"), others.alias("others"))
+
+
 @query("integrity", """SELECT o_orderkey, '.receptor_info' AS path, 'Ghost Chain at ''.receptor_info'': ''' || o_orderstatus || ''' not in PDB Source.' AS message FROM orders WHERE o_orderstatus NOT IN ('F', 'P')
 UNION ALL SELECT o_orderkey, '.receptor_info', 'Invalid Format at ''.receptor_info'': ''' || o_orderpriority || ''' (Expected: name_species)' FROM orders WHERE o_orderkey % 2 = 1
 UNION ALL SELECT o_orderkey, '.receptor_info', 'Fake UniProt ID at ''.receptor_info'': ''x_' || o_custkey || ''' does not exist in UniProtKB.' FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey % 3 = 0

@@ -49,11 +49,22 @@ def json_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return lines.where(good), lines.where(~good).select("line")
 
 
-def cached(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """The rows of a versioned cache; those of other versions don't count."""
+def cached(spark: SparkSession, path: str, version: int, schema: str | None = None) -> DataFrame:
+    """The rows of a versioned cache; those of other versions don't count. With a schema, a cache that isn't there is empty."""
+    where, store = _at(spark, path)
+    if schema is not None and not store.exists(where):
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(path).where(F.col("version") == version).drop("version")
 
 
+def read_log(spark: SparkSession, path: str, schema: str = "id string, status string, timestamp string") -> DataFrame:
+    """The rows of a log of JSON lines; lines that are corrupt, or have no id, and a log that isn't there give none."""
+    where, store = _at(spark, path)
+    if not store.exists(where):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path).where("id IS NOT NULL")
+
+
 def is_pdf(content):
     """Whether binary content begins as a PDF does."""
     return F.substring(content, 1, 4) == F.lit(b"%PDF")

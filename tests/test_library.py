@@ -218,6 +218,10 @@ def test_aggregated_rows_caches_and_requests(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out" / "differences")).count() == 1 and spark.read.json(str(tmp_path / "out" / "records")).count() == 2
     for n, version in ((3, 1), (5, 2)):
         files.write_cache(spark.range(n), str(tmp_path / "cache"), version)
+    assert files.cached(spark, str(tmp_path / "nothing"), 1, "id long").count() == 0
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.json").write_text('{"id": "x", "status": "done", "timestamp": "1"}\n{broken\n[1]\n')
+    assert [r["id"] for r in files.read_log(spark, str(tmp_path / "log")).collect()] == ["x"] and files.read_log(spark, str(tmp_path / "no")).count() == 0
     assert files.cached(spark, str(tmp_path / "cache"), 2).count() == 5 and files.cached(spark, str(tmp_path / "cache"), 1).count() == 0
     asked = spark.createDataFrame([("1ABC", 2, "text")], "entity string, run int, prompt string")
     files.write_requests(asked, str(tmp_path / "asked"))
