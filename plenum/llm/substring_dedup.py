@@ -7,9 +7,9 @@ such nodes cover are the maximal ones.
 1. Which suffixes may be under such a node: a window's sample is the position of the smallest hash among its
    ``prefix``-word sequences, so equal windows have equal samples. Windows whose sample occurs once are left out.
 2. Suffixes are partitioned by prefixes of variable length. A prefix has ``prefix`` words at first; one that HOT
-   suffixes of a batch or more begin with grows by GROW words at a time, up to the whole window. Which ones grow is
-   one table for all tasks, so equal windows are in one group, and a group has HOT suffixes of a batch at most,
-   unless they are equal for the whole window; of these a batch sends one.
+   suffixes of a portion of texts or more begin with grows by GROW words at a time, up to the whole window. Which ones grow is
+   one table for all tasks, so equal windows are in one group, and a group has HOT suffixes of a portion at most,
+   unless they are equal for the whole window; of these a portion sends one.
 3. A group's suffixes are sorted by the words that follow, and the common prefixes of neighbours give the subtree:
    suffixes stay together down to the depth that the least of these between them has. Where it's ``window``, all
    but the first suffix in order of documents are later ones.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, Scratch, only, parts, raw, small
 from .words import _P, grams, mix, word_hashes
 
-WINDOW, PREFIX, GROW, HOT, GROWN, SHOWN = 20, 8, 4, 64, 200_000, 8
+WINDOW, PREFIX, GROW, HOT, GROWN, SHOWN, PART = 20, 8, 4, 64, 200_000, 8, 1 << 20
 
 
 def samples(h: np.ndarray, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +125,23 @@ def _texts(batch, column: int):
             yield i, h[first[i - a] : first[i - a + 1]]
 
 
+def _portions(batches, made, size):
+    """What made gives for each text of the batches, in lists of some PART words or suffixes, so memory doesn't follow a batch."""
+    rows, n = [], 0
+    for batch in batches:
+        keys = np.asarray(batch.column(0))
+        lists = batch.column(2) if batch.num_columns > 2 else None
+        for i, h in _texts(batch, 1):
+            x = made(lists[i] if lists is not None else None, keys[i], h)
+            rows.append(x)
+            n += size(x)
+            if n >= PART:
+                yield rows
+                rows, n = [], 0
+    if rows:
+        yield rows
+
+
 def _rows(*columns, names):
     return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=list(names))
 
@@ -134,13 +151,12 @@ def _repeated_samples(rows: DataFrame, window: int, prefix: int) -> DataFrame:
 
     def sample(batches):
         names = ("h", "key", "at", "kind", "count")
-        for batch in batches:
-            keys, hs, ks, ps, texts = np.asarray(batch.column(0)), [], [], [], []
-            for i, h in _texts(batch, 1):
-                at, g = samples(h, window, prefix)
+        for rows in _portions(batches, lambda i, key, h: (key, h, *samples(h, window, prefix)), lambda x: len(x[1])):
+            hs, ks, ps, texts = [], [], [], []
+            for key, h, at, g in rows:
                 if len(at):
                     at = at[np.concatenate(([True], at[1:] != at[:-1]))]
-                    hs.append(g[at]), ks.append(np.full(len(at), keys[i])), ps.append(at), texts.append(h)
+                    hs.append(g[at]), ks.append(np.full(len(at), key)), ps.append(at), texts.append(h)
             if not hs:
                 continue
             h, k, p = np.concatenate(hs), np.concatenate(ks), np.concatenate(ps)
@@ -223,20 +239,22 @@ def _later_windows(rows: DataFrame, window: int, prefix: int, growing: dict[int,
     """key, starts (packed): windows whose words also start earlier. rows: key, text, at."""
     columns = ("group", "path", "whole", "key", "start")
 
+    def own(sampled, key, h):
+        """The key, group, path, hash and start of each suffix of a text that a sample asks for."""
+        at, _ = samples(h, window, prefix)
+        if not len(at) or not sampled.is_valid:
+            return key, *(np.zeros(0, k) for k in (np.uint32, np.int64, np.uint64, np.int32))
+        start = np.flatnonzero(np.isin(at, sampled.values.to_numpy()))
+        hashes, shown = chain(h, start, prefix, window)
+        return key, grouped(hashes, growing, prefix, window)[0], _packed(shown), hashes[:, -1].copy(), start.astype(np.int32)
+
     def suffixes(batches):
-        for batch in batches:
-            keys, lists, ws, cs, ks, ss = np.asarray(batch.column(0)), batch.column(2), [], [], [], []
-            for i, h in _texts(batch, 1):
-                at, _ = samples(h, window, prefix)
-                if not len(at) or not lists[i].is_valid:
-                    continue
-                start = np.flatnonzero(np.isin(at, lists[i].values.to_numpy()))
-                hashes, shown = chain(h, start, prefix, window)
-                ws.append(hashes), cs.append(shown), ks.append(np.full(len(start), keys[i])), ss.append(start)
-            if not ws:
+        for rows in _portions(batches, own, lambda x: len(x[4])):
+            group, path, whole, s = (np.concatenate([x[i] for x in rows]) for i in range(1, 5))
+            if not len(s):
                 continue
-            w, k, s = np.concatenate(ws), np.concatenate(ks), np.concatenate(ss)
-            whole = w[:, -1]
+            k = np.repeat(np.array([x[0] for x in rows], np.int64), [len(x[4]) for x in rows])
+            rows.clear()
             order = np.lexsort((s, k, whole))
             first = np.concatenate(([True], whole[order[1:]] != whole[order[:-1]]))
             late_k, late_s = k[order][~first], s[order][~first].astype("<i4")
@@ -247,8 +265,7 @@ def _later_windows(rows: DataFrame, window: int, prefix: int, growing: dict[int,
             known = [x.tobytes() for x in np.split(late_s, cut[1:])] if len(cut) else []
             owners = late_k[cut]
             n, m = len(sent), len(owners)
-            group, _ = grouped(w[sent], growing, prefix, window)
-            path = _packed(np.concatenate(cs)[sent])
+            group, path = group[sent], path[sent]
             nothing = np.zeros(m, np.int64)
             yield _rows(
                 np.concatenate((group, (mix(owners.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32))).view(np.int32),
