@@ -1,7 +1,9 @@
 """Votes over whole nested records of any depth, the record that agrees best, and where it differs.
 
 A record is walked once, in one pass without a shuffle, into a row per node; everything after that is aggregates and
-equi-joins by entity and path, as many for a deep record as for a flat one. The walk is the one thing that columns
+equi-joins by entity and path, as many for a deep record as for a flat one. What several of these read is a table in the
+shared folder, and joins are hinted to merge: both sides grow with the records, and texts that repeat take a fraction of
+their memory in a shuffle, so that Spark would take them for small and broadcast them by way of the driver. The walk is the one thing that columns
 can't express at any depth. Values are compared as canonical JSON: keys sorted, 2.0 as 2; booleans aren't numbers.
 """
 
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plenum.plans.tables import stored
+
 NODE = [
     T.StructField("path", T.StringType()),
     T.StructField("above", T.ArrayType(T.StringType())),
@@ -140,29 +144,29 @@ def _voters(df: DataFrame, entity: str, order: str, v: str, keyed: dict[str, str
     """
     n = walk(df.select(F.col(entity).alias("e"), F.col(order).alias("ord"), F.col(v).alias("v")), ["e", "ord"], "v", keyed, soft)
     mark = F.coalesce(F.try_element_at("above", F.lit(-1)), F.lit(""))
-    n = n.withColumns({"by": F.substring(mark, 1, 1), "parent": F.substring(mark, 3, 1 << 30)})
+    n = stored(n).withColumns({"by": F.substring(mark, 1, 1), "parent": F.substring(mark, 3, 1 << 30)})
     columns = ["e", "path", "above", "name", "ord", "nth", "kind", "value"]
     direct = n.where("by <> 'o'").withColumn("nth", F.col("inst")).select(*columns)
     objects = n.where("kind = 'object'").select("e", F.col("path").alias("parent"), "ord", F.col("inst").alias("nth"))
     named = n.where("by = 'o'")
     names = named.groupBy("e", "parent", "path", "name").agg(F.first("above").alias("above"), F.bool_or(F.col("kind") == "soft").alias("hidden"))
     there = named.select("e", "path", "ord", F.col("up").alias("nth"), "kind", "value")
-    filled = objects.join(names, ["e", "parent"]).join(there, ["e", "path", "ord", "nth"], "left")
+    filled = objects.join(names.hint("merge"), ["e", "parent"]).join(there.hint("merge"), ["e", "path", "ord", "nth"], "left")
     kind = F.when(F.col("hidden"), "soft").otherwise(F.coalesce("kind", F.lit("scalar")))
-    return direct.unionByName(filled.withColumns({"kind": kind, "value": F.coalesce("value", F.lit("null"))}).select(*columns))
+    return stored(direct.unionByName(filled.withColumns({"kind": kind, "value": F.coalesce("value", F.lit("null"))}).select(*columns)))
 
 
 def _branches(voters: DataFrame) -> DataFrame:
     """e, path, above, name, branch: how all are read at a path, as the first voter says, where the branches above lead there."""
     way = F.when(F.col("kind") == "list", "scalar").otherwise(F.col("kind"))
-    found = voters.groupBy("e", "path").agg(F.min_by(way, F.struct("ord", "nth")).alias("branch"), F.first("above").alias("above"), F.first("name").alias("name"))
+    found = stored(voters.groupBy("e", "path").agg(F.min_by(way, F.struct("ord", "nth")).alias("branch"), F.first("above").alias("above"), F.first("name").alias("name")))
     asked = found.select("e", "path", F.explode("above").alias("a")).select("e", F.col("path").alias("below"), F.substring("a", 3, 1 << 30).alias("path"), F.when(F.col("a").startswith("o"), "object").otherwise("keyed").alias("needs"))
-    cut = asked.join(found.select("e", "path", "branch"), ["e", "path"]).where("branch <> needs").select("e", F.col("below").alias("path")).distinct()
-    return found.join(cut, ["e", "path"], "left_anti")
+    cut = asked.join(found.select("e", "path", "branch").hint("merge"), ["e", "path"]).where("branch <> needs").select("e", F.col("below").alias("path")).distinct()
+    return found.join(cut.hint("merge"), ["e", "path"], "left_anti")
 
 
 def _cast(voters: DataFrame, branches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    leaves = voters.select("e", "path", "ord", "nth", "value").join(branches.where("branch = 'scalar'").select("e", "path"), ["e", "path"])
+    leaves = voters.select("e", "path", "ord", "nth", "value").join(branches.where("branch = 'scalar'").select("e", "path").hint("merge"), ["e", "path"])
     votes = leaves.groupBy("e", "path", "value").agg(F.count("*").alias("n"), F.min(F.struct("ord", "nth")).alias("at"))
     rank = F.struct("n", -F.col("at.ord"), -F.col("at.nth"))
     winners = votes.groupBy("e", "path").agg(F.max_by("value", rank).alias("winner"), F.max("n").alias("votes"), F.sum("n").alias("voters"))
@@ -202,11 +206,20 @@ def majority_record(df: DataFrame, entity: str, order: str, v: str = "v", keyed:
 
     One record's worth of rows meets in a task per entity, however many records vote.
     """
+    return polled(df, entity, order, v, keyed, soft)[2]
+
+
+def polled(df: DataFrame, entity: str, order: str, v: str = "v", keyed: dict[str, str] | None = None, soft: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What majority() and majority_record() return, from one walk of the records."""
     voters = _voters(df, entity, order, v, keyed or {}, soft)
     branches = _branches(voters)
-    _, winners = _cast(voters, branches)
+    votes, winners = _cast(voters, branches)
+    return votes.withColumnRenamed("e", entity), winners.withColumnRenamed("e", entity), _records(branches, winners, entity)
+
+
+def _records(branches: DataFrame, winners: DataFrame, entity: str) -> DataFrame:
     parent = F.substring(F.coalesce(F.try_element_at("above", F.lit(-1)), F.lit("")), 3, 1 << 30)
-    rows = branches.join(winners.select("e", "path", "winner"), ["e", "path"], "left")
+    rows = branches.join(winners.select("e", "path", "winner").hint("merge"), ["e", "path"], "left")
     items = rows.groupBy("e").agg(F.collect_list(F.struct(F.size("above").alias("d"), "name", "path", parent.alias("p"), "branch", "winner")).alias("rows"))
 
     def run(batches):
@@ -214,7 +227,7 @@ def majority_record(df: DataFrame, entity: str, order: str, v: str = "v", keyed:
             texts = [_assembled([tuple(r.values()) for r in rows]) for rows in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["e", "text"])
 
-    made = items.mapInArrow(run, T.StructType([items.schema["e"], T.StructField("text", T.StringType())]))
+    made = stored(items.mapInArrow(run, T.StructType([items.schema["e"], T.StructField("text", T.StringType())])))
     return made.select(F.col("e").alias(entity), F.parse_json("text").alias("majority"))
 
 
@@ -233,15 +246,15 @@ def scored(df: DataFrame, majorities: DataFrame, entity: str, order: str, v: str
     said = walk(df.select(entity, order, F.col(v).alias("v")), [entity, order], "v", {}).select(entity, order, "path", "value")
     hits = F.size(F.filter(_items(F.col("value")), lambda x: F.array_contains(_items(F.col("want")), x)))
     point = F.when(F.col("want").startswith("["), F.when(F.col("value").startswith("["), hits).otherwise(0)).otherwise((F.col("value") == F.col("want")).cast("int"))
-    points = said.join(wanted, [entity, "path"]).groupBy(entity, order).agg(F.sum(point.cast("long")).alias("score"))
-    return df.select(entity, order).join(points, [entity, order], "left").select(entity, order, F.coalesce("score", F.lit(0).cast("long")).alias("score"))
+    points = said.join(wanted.hint("merge"), [entity, "path"]).groupBy(entity, order).agg(F.sum(point.cast("long")).alias("score"))
+    return df.select(entity, order).join(points.hint("merge"), [entity, order], "left").select(entity, order, F.coalesce("score", F.lit(0).cast("long")).alias("score"))
 
 
 def best_record(df: DataFrame, majorities: DataFrame, entity: str, order: str, v: str = "v") -> DataFrame:
     """entity, order, score, v: each entity's record with the highest score, of equal ones the first."""
     scores = scored(df, majorities, entity, order, v)
     top = scores.groupBy(entity).agg(F.max("score").alias("score"), F.max_by(order, F.struct("score", -F.col(order))).alias(order))
-    return df.select(entity, order, F.col(v).alias("v")).join(top, [entity, order]).select(entity, order, "score", "v")
+    return df.select(entity, order, F.col(v).alias("v")).join(top.hint("merge"), [entity, order]).select(entity, order, "score", "v")
 
 
 def differences(best: DataFrame, majorities: DataFrame, votes: DataFrame, entity: str, v: str = "v", keyed: dict[str, str] | None = None, soft: tuple[str, ...] = (), excluded: tuple[str, ...] = ()) -> DataFrame:
@@ -258,7 +271,7 @@ def differences(best: DataFrame, majorities: DataFrame, votes: DataFrame, entity
     want = want.where(above.startswith("o")).select(entity, "path", F.substring(above, 3, 1 << 30).alias("parent"), F.col("value").alias("majority_value"))
     have = walk(best, [entity], v, keyed, soft, last=True)
     objects = have.where("kind = 'object'").select(entity, F.col("path").alias("parent"))
-    found = want.join(objects, [entity, "parent"]).join(have.select(entity, "path", F.col("value").alias("best_value")), [entity, "path"], "left")
+    found = want.join(objects.hint("merge"), [entity, "parent"]).join(have.select(entity, "path", F.col("value").alias("best_value")).hint("merge"), [entity, "path"], "left")
     found = found.withColumn("best_value", F.coalesce("best_value", F.lit("null"))).where("best_value <> majority_value")
     n = votes.select(entity, "path", F.col("value").alias("majority_value"), "n")
-    return found.join(n, [entity, "path", "majority_value"], "left").select(entity, "path", "best_value", "majority_value", "n")
+    return found.join(n.hint("merge"), [entity, "path", "majority_value"], "left").select(entity, "path", "best_value", "majority_value", "n")

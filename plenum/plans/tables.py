@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +26,24 @@ def session(name: str = "plenum", cores: int | None = None, partitions: int | No
     return SparkSession.builder.master(f"local[{cores}]").appName(name).config(map=conf).getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage, from the folder that driver and executors share (spark.checkpoint.dir; a local one where that is unset)."""
-    context = df.sparkSession.sparkContext
+def shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir; a local one where that is unset)."""
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         import tempfile
 
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="plenum-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="plenum-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df without its lineage, from the shared folder."""
+    shared(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df without its lineage, like cut(), as a compressed table in the shared folder; it stays until that folder goes."""
+    schema, path = df.schema, f"{shared(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

@@ -114,6 +114,16 @@ def test_walks_have_no_depth_of_their_own(spark):
     assert tree.nodes(df.limit(0), ["i"]).count() == 0 and tree.majority(df.limit(0), "e", "i")[1].count() == 0
 
 
+def test_no_join_of_trees_goes_by_way_of_the_driver(spark):
+    runs = records(spark, {"a": 1, "b": {"x": "p"}}, {"a": 2, "b": {"x": "q"}}, {"a": 2})
+    votes, winners = tree.majority(runs, "e", "i")
+    major = tree.majority_record(runs, "e", "i")
+    best = tree.best_record(runs, major, "e", "i")
+    for df in (winners, major, best, tree.differences(best, major, votes, "e")):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tree_walk_names_every_node(spark):
     got = {(r["path"], r["kind"], r["value"]) for r in tree.nodes(records(spark, {"a": [{"k": 1}, 2], "b": {"c": None}}), ["e", "i"]).collect()}
     assert got == {("a", "array", '[{"k":1},2]'), ("a[0]", "object", '{"k":1}'), ("a[0].k", "scalar", "1"), ("a[1]", "scalar", "2"), ("b", "object", '{"c":null}'), ("b.c", "scalar", "null")}
