@@ -94,8 +94,7 @@ def aggregate(runs: DataFrame, context: DataFrame, asked: DataFrame | None = Non
     runs = runs.where(F.schema_of_variant("v").startswith("OBJECT"))
     asked = asked if asked is not None else runs.select("entity")
     here = runs.join(context.select("entity").distinct(), "entity", "left_semi")
-    major = tree.majority_record(here, "entity", "ord", keyed=KEYED, soft=SOFT)
-    votes, _ = tree.majority(here, "entity", "ord", keyed=KEYED, soft=SOFT)
+    votes, _, major = tree.polled(here, "entity", "ord", keyed=KEYED, soft=SOFT)
     major, context = cut(major), cut(context)
     best = tree.best_record(here, major, "entity", "ord").join(context, "entity")
     best = cut(best.withColumn("v", with_truth(F.col("v"), F.col("method"), F.col("resolution"), F.col("release_date"))))

@@ -272,8 +272,8 @@ def tree_best(spark, sf_dir):
 @query("tree_diff", f"""WITH {PATHED} SELECT user_id || '/' || week AS e, path, '"' || long.value || '"' AS best_value, '"' || winner || '"' AS majority_value, votes AS n FROM best JOIN long USING (user_id, week, event_id) JOIN won USING (user_id, week, field) JOIN named USING (field) WHERE long.value IS DISTINCT FROM winner""")
 def tree_diff(spark, sf_dir):
     df = nested(spark, sf_dir)
-    major = tree.majority_record(df, "e", "event_id")
-    return tree.differences(tree.best_record(df, major, "e", "event_id"), major, tree.majority(df, "e", "event_id")[0], "e")
+    votes, _, major = tree.polled(df, "e", "event_id")
+    return tree.differences(tree.best_record(df, major, "e", "event_id"), major, votes, "e")
 
 
 @query("display_copy", """SELECT c_nationkey, CASE WHEN count(*) > 3 THEN list_append((list(c_custkey::VARCHAR ORDER BY c_custkey))[:3], '... (' || (count(*) - 3) || ' more)')[4] END AS fourth, count(*) AS others FROM customer GROUP BY 1""")
