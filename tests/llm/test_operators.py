@@ -125,6 +125,32 @@ def test_pipeline_keeps_one_row_of_each_component_and_all_others(spark):
         assert got == sorted([(1, ODD[0][1]), (6, "word"), (None, null)] + [r[:2] for r in alone], key=str)
 
 
+def test_large_groups_of_candidates_take_few_copies(spark, monkeypatch):
+    judged = spark.createDataFrame([(i, 0, 300, 140, i == 0) for i in range(300)], "fp long, root long, m long, n long, linked boolean")
+    assert ngram_join._cells(judged).count() == 300
+    r = random.Random(3)
+    base = [f"w{i}" for i in range(80)]
+    texts = []
+    for i in range(150):  # near copies at several distances, and chains of texts that share less and less
+        w = list(base)
+        for k in r.sample(range(80), r.choice([1, 1, 2, 5])):
+            w[k] = f"x{r.randrange(60)}"
+        texts.append(" ".join(w))
+        texts.append(" ".join(f"c{i % 5}_{k}" for k in range(i, i + 60)))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 75 * len(a | sets[j]) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block, wide in ((128, 1024), (4, 8)):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "WIDE", wide)
+        assert [r["component_id"] for r in ngram_join.join(docs).orderBy("doc_id").collect()] == label
+
+
 def test_words_are_the_contracts_also_across_pieces(monkeypatch):
     from plenum.llm import words
 
