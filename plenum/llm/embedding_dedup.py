@@ -21,6 +21,8 @@ from .common import Scratch
 from .connected import components, merge_labels
 
 COSINE, BLOCK, PIVOT_ROWS, PIVOTS, STRIP = 0.95, 2048, 4096, 256, 512
+#: Blocks grow with the table up to WIDEST, so that there are some BLOCKS of them; a strip makes as many products as STRIP against BLOCK. Rows sent go in batches of SENT.
+BLOCKS, WIDEST, SENT = 32, 32_768, 20_000
 #: Pivots whose cosine is closer to 1 than PARALLEL are one; SLACK is far above the rounding errors of a border's distance.
 PARALLEL, SLACK = 1e-6, 1e-7
 
@@ -33,6 +35,11 @@ def unit(rows: list[bytes], kind: str) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def strip(n: int) -> int:
+    """Vectors that are compared with n others at once."""
+    return max(1, STRIP * BLOCK // max(n, BLOCK))
+
+
 def nodes_of(vectors: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, str]:
     """All rows with their content key, and a node per distinct usable vector: node, dim, v (bytes), mult, low."""
     kind = "<f4" if "float" in vectors.schema["embedding"].dataType.simpleString() else "<f8"
@@ -69,7 +76,13 @@ def pivots_of(nodes: DataFrame, kind: str, pivot_rows: int, most: int) -> dict[i
     return out
 
 
-def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_rows: int = PIVOT_ROWS, pivots: int = PIVOTS) -> DataFrame:
+def widths(n: int) -> tuple[int, int]:
+    """Vectors of a block, and of a cell on average, for n of them: where pivots don't separate, each is sent to half of all blocks."""
+    block = max(BLOCK, min(WIDEST, -(-n // BLOCKS)))
+    return block, max(PIVOT_ROWS, 2 * block)
+
+
+def near(vectors: DataFrame, cosine: float = COSINE, block: int | None = None, pivot_rows: int | None = None, pivots: int = PIVOTS) -> DataFrame:
     """vec_id, n_links, component_id and kept: one row for every row of vectors.
 
     Null, empty and zero vectors and those with a null or non-finite component link with nothing and are kept.
@@ -80,6 +93,8 @@ def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_r
     spark = vectors.sparkSession
     scratch = Scratch(spark, "near")
     rows, nodes, kind = nodes_of(vectors, scratch)
+    wide = widths(nodes.count())
+    block, pivot_rows = block or wide[0], pivot_rows or wide[1]
     centres = pivots_of(nodes, kind, pivot_rows, pivots)
     radius = math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
 
@@ -105,7 +120,12 @@ def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_r
         for batch in batches:
             dims, cells, keys = (np.asarray(batch.column(i)) for i in (1, 4, 5))
             v = batch.column(2).to_pylist()
-            row, to, side = [], [], []
+            row, to, side, held = [], [], [], 0
+
+            def made(batch=batch):
+                at = pa.array(np.concatenate(row))
+                return pa.RecordBatch.from_arrays([batch.column(1).take(at), pa.array(np.concatenate(to).astype(np.int32)), pa.array(np.concatenate(side)), batch.column(0).take(at), batch.column(3).take(at), batch.column(2).take(at)], names=["dim", "block", "side", "node", "mult", "v"])
+
             for dim in np.unique(dims):
                 own = np.flatnonzero(dims == dim)
                 p, n = centres[dim], total[dim]
@@ -116,6 +136,7 @@ def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_r
                 mine = first + (keys[own].astype(np.uint64) >> np.uint64(8)) % count.astype(np.uint64)
                 mine = mine.astype(np.int64)
                 row.append(own), to.append(mine), side.append(np.zeros(len(own), np.int8))
+                held += len(own)
                 gap = np.sqrt(np.maximum(0.0, 2 - 2 * (p @ p.T)))
                 for j, (begin, many) in slices[dim].items():
                     reach = (cos[np.arange(len(own)), cell] - cos[:, j]) <= radius * gap[cell, j] + SLACK
@@ -123,9 +144,12 @@ def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_r
                         ahead = (mine - other) % n  # a pair of blocks meets in the one from which the other is less far round
                         go = np.flatnonzero(reach & (ahead > 0) & ((2 * ahead < n) | ((2 * ahead == n) & (other < mine))))
                         row.append(own[go]), to.append(np.full(len(go), other)), side.append(np.ones(len(go), np.int8))
-            if row:
-                at = pa.array(np.concatenate(row))
-                yield pa.RecordBatch.from_arrays([batch.column(1).take(at), pa.array(np.concatenate(to).astype(np.int32)), pa.array(np.concatenate(side)), batch.column(0).take(at), batch.column(3).take(at), batch.column(2).take(at)], names=["dim", "block", "side", "node", "mult", "v"])
+                        held += len(go)
+                        if held >= SENT:  # else a batch's copies for all blocks stand in memory at once
+                            yield made()
+                            row, to, side, held = [], [], [], 0
+            if held:
+                yield made()
 
     def join(batches):
         """Rows come by block, the block's own ones first."""
@@ -136,8 +160,9 @@ def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_r
             if left is None:
                 return None
             parent, links, ids = state["parent"], state["links"], state["ids"]
-            for s in range(0, len(left), STRIP):
-                a, b = np.nonzero(left[s : s + STRIP] @ left[s:].T >= cosine)
+            step = strip(len(left))
+            for s in range(0, len(left), step):
+                a, b = np.nonzero(left[s : s + step] @ left[s:].T >= cosine)
                 keep = a < b
                 a, b = a[keep] + s, b[keep] + s
                 np.add.at(links, a, state["mult"][b])
@@ -170,8 +195,9 @@ def near(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivot_r
                     state["mults"] += part.column(4).to_pylist()
                     continue
                 ready()
-                for s in range(0, b - a, STRIP):
-                    piece = part.slice(s, STRIP)
+                step = strip(len(state["left"]))
+                for s in range(0, b - a, step):
+                    piece = part.slice(s, step)
                     r, c = np.nonzero(unit(piece.column(5).to_pylist(), kind) @ state["left"].T >= cosine)
                     if not len(r):
                         continue

@@ -579,6 +579,24 @@ def test_embedding_links_are_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_embedding_blocks_grow_with_the_table():
+    for n in (1, 50_000, 600_000, 1_000_000):
+        block, cell = embedding_dedup.widths(n)
+        assert -(-n // block) <= embedding_dedup.BLOCKS and block <= embedding_dedup.WIDEST and n // cell <= embedding_dedup.BLOCKS
+        assert embedding_dedup.strip(block) * block <= embedding_dedup.STRIP * embedding_dedup.BLOCK
+
+
+def test_embedding_copies_are_sent_in_bounded_batches(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    v = r.normal(size=(300, 8))
+    v[150:] = v[:150] + r.normal(size=(150, 8)) * 0.1
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = ((u @ u.T >= 0.95).sum(axis=1) - 1).tolist()
+    monkeypatch.setattr(embedding_dedup, "SENT", 7)
+    assert [x["n_links"] for x in embedding_dedup.near(frame, block=16, pivot_rows=60).orderBy("vec_id").collect()] == want
+
+
 def test_embedding_links_of_one_direction(spark):
     r = np.random.default_rng(2)
     hot, other = r.normal(size=16), r.normal(size=(200, 16))
