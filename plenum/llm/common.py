@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: A side of a join is broadcast up to this many rows of two longs; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
 
+#: With it, Spark deletes a query's shuffle files when the query ends, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: The words of the contracts, as bytes of UTF-8: runs of what is neither a blank nor 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,9 +50,16 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes df and reads it again with the same column types."""
-        schema = df.schema
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        """Writes df and reads it again with the same column types. Its shuffle files go at once, as nothing reads them again."""
+        schema, before = df.schema, self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        finally:
+            if before is None:
+                self.spark.conf.unset(CLEANUP)
+            else:
+                self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

@@ -452,7 +452,8 @@ def _verify(sets: DataFrame, pairs: DataFrame, hubs: DataFrame, scratch: Scratch
         member = _sized(own, scratch, "hub")
         cells = cells.unionByName(whole(member))
         judged = _to_hub(sets, member.where(F.col("m") > BLOCK), scratch)
-        stars = stars.unionByName(judged.where("linked AND fp <> root").select("fp", F.col("root").alias("other")))
+        # pairs and cells each shuffle whole sets, so the ones are done before the others
+        stars = scratch.write(stars, "stars").unionByName(judged.where("linked AND fp <> root").select("fp", F.col("root").alias("other")))
         cells = cells.unionByName(_cells(judged))
     rows = sets.join(cells.hint("merge"), "fp").select("root", "i", "j", "fp", "tokens")
 

@@ -3,13 +3,14 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plenum.llm import compression_quality, embedding_dedup, media, mixing, ngram_join, packing, queries, secrets, substring_dedup, token_counts, tokens, toxicity
+from plenum.llm import common, compression_quality, embedding_dedup, media, mixing, ngram_join, packing, queries, secrets, substring_dedup, token_counts, tokens, toxicity
 from plenum.llm.words import shingle_set, word_hashes
 
 SF = "/root/testdata/sf0.001"
@@ -125,6 +126,25 @@ def test_pipeline_keeps_one_row_of_each_component_and_all_others(spark):
         assert got == sorted([(1, ODD[0][1]), (6, "word"), (None, null)] + [r[:2] for r in alone], key=str)
 
 
+def test_scratch_tables_leave_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "/shuffle_" in f}
+
+    scratch, before = common.Scratch(spark, "shuffled"), files()
+    counts = spark.range(50_000).repartition("id").groupBy((F.col("id") % 1000).alias("k")).count()
+    kept = scratch.write(counts, "counts")
+    for _ in range(50):  # they are deleted beside what follows
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert kept.agg(F.sum("count")).first()[0] == 50_000
+    counts.write.format("noop").mode("overwrite").save()  # the setting holds for scratch tables alone
+    assert files() - before
+
+
 def test_large_groups_of_candidates_take_few_copies(spark, monkeypatch):
     judged = spark.createDataFrame([(i, 0, 300, 140, i == 0) for i in range(300)], "fp long, root long, m long, n long, linked boolean")
     assert ngram_join._cells(judged).count() == 300
